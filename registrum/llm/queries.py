@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, oracles, sharding
+from . import matroska, mixing, oracles, separator_scan, sharding, token_store
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,5 +19,26 @@ def op2_tiered_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_placement(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_tiered_sharding)}
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store_ids(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), end_id=2)
+
+
+def op5_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matroska.features(matroska.to_media(documents(spark, sf_dir)))
+
+
+def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The separator 50256 is free in this vocabulary, so no text has it."""
+    import public_tokenizers
+
+    return separator_scan.count_tokens(documents(spark, sf_dir), tokenizer("byte_bpe_multi_50k.tiktoken"), pattern=public_tokenizers.PATTERN, separator=50256)
+
+
+QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_tiered_sharding, op4_token_store, op5_matroska, op7_separator_scan)}
 ORACLES = {"op1_pareto_mix": oracles.OP1}
