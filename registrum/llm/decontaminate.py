@@ -14,13 +14,13 @@ from .common import need, small_batches
 
 #: Where a mask has 0, the word there may differ.
 MASKS = ("110110101011", "1110010110111", "101101110011", "11101101")
-#: ASCII upper case to lower case; other ASCII marks to spaces. What is left between spaces is a word.
+#: Of texts in lower case: ASCII marks to spaces. What is left between spaces is a word.
 TABLE = bytes(ord(c.lower()) if (c := chr(i)).isalnum() and i < 128 else i if i >= 128 else 32 for i in range(256))
 FACTORS = np.random.default_rng(20).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def plain_words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(TABLE).split() if text else []
+    return text.lower().encode("utf-8", "surrogatepass").translate(TABLE).split() if text else []
 
 
 def seed_places(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
