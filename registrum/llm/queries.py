@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, matroska, mixing, oracles, quality_fm, separator_scan, sharding, token_store
+from . import decontaminate, hmm_lm, matroska, mixing, oracles, quality_fm, separator_scan, sharding, token_store
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separator_scan.count_tokens(documents(spark, sf_dir), tokenizer("byte_bpe_multi_50k.tiktoken"), pattern=public_tokenizers.PATTERN, separator=50256)
 
 
+def op3_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score_documents(documents(spark, sf_dir))
+
+
 def op9_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -48,5 +52,5 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_tiered_sharding, op4_token_store, op5_matroska, op7_separator_scan, op9_quality_fm, op10_spaced_seeds)}
+QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_tiered_sharding, op3_hmm_language_model, op4_token_store, op5_matroska, op7_separator_scan, op9_quality_fm, op10_spaced_seeds)}
 ORACLES = {"op1_pareto_mix": oracles.OP1}
