@@ -116,3 +116,25 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+#: Bits of a map of rows or keys.
+MAP_BITS = 1 << 25
+
+
+def bit_map(keys: DataFrame, column: str) -> bytes:
+    """The low bits of a long column as a map of MAP_BITS bits, a size that does not grow with the data."""
+    place = F.col(column).bitwiseAND(F.lit(MAP_BITS - 1)) + 1
+    parts = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()
+    out = bytearray(MAP_BITS // 8)
+    for r in parts:
+        out[(r.b - 1) * 4096 : r.b * 4096] = r.m
+    return bytes(out)
+
+
+def in_map(bits: bytes, keys):
+    """Which of an array of 64-bit keys may be in the map; those that were put in it all are."""
+    import numpy as np
+
+    at = keys.view("u8") & np.uint64(MAP_BITS - 1)
+    return (np.frombuffer(bits, "u1")[(at >> np.uint64(3)).astype("i8")] >> (at & np.uint64(7)).astype("u1")) & 1 > 0
