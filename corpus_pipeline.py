@@ -3,11 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from registrum.llm import mixing, sharding
+from registrum.llm import decontaminate, mixing, near_dedup, quality_fm, sharding
 from registrum.llm.common import scratch
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.3 go. The classifier is fitted on labelled documents among docs."""
+    machine = quality_fm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_fm.with_scores(docs, machine).filter(F.col("_quality") >= 0.3).select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a similarity of 0.8 or more on five-word shingles the document of the least id stays."""
+    return near_dedup.one_of_each(docs, shingle=5, percent=80)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which an item of the benchmark is found go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy that the mix takes; a document of which it takes less than half goes."""
     return mixing.mixed_documents(docs)
@@ -18,9 +35,15 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_placement(docs)
 
 
-STAGES = [("mixing", mix), ("sharding", shard)]
+STAGES = [
+    ("quality", classify),
+    ("near duplicates", deduplicate),
+    ("decontamination", decontaminate_benchmark),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
-#: The classifier cannot be expressed in SQL.
+#: The classifier's and the seeds' decisions cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
@@ -29,7 +52,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            at = scratch(spark, f"stage-{name}")
+            at = scratch(spark, "stage-" + name.replace(" ", "-"))
             docs.write.parquet(at)
             docs = spark.read.parquet(at)
     return docs
