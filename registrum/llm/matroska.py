@@ -67,7 +67,7 @@ def lace(frames: list[bytes], kind: int) -> bytes:
     head = bytes([len(frames) - 1])
     if kind == XIPH:
         head += b"".join(b"\xff" * (len(f) // 255) + bytes([len(f) % 255]) for f in frames[:-1])
-    elif kind == EBML_LACE:
+    elif kind == EBML_LACE and len(frames) > 1:
         head += vint(len(frames[0]))
         for a, b in zip(frames, frames[1:-1], strict=False):
             d = len(b) - len(a)
