@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 import zlib
@@ -47,8 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path, as a URI, under the shared folder."""
     at = shared_dir(spark)
-    if "://" not in at:
-        at = at if at.startswith("file:") else "file://" + os.path.abspath(at)
+    if "://" not in at:  # as Hadoop's default file system takes it
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+        at = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        at = "file://" + at.removeprefix("file:") if at.startswith("file:/") and not at.startswith("file://") else at
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -83,6 +84,14 @@ def need(df: DataFrame, *names: str) -> None:
         raise ValueError(f"columns are missing: {missing}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until df has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph by alternating large-star and small-star steps.
 
@@ -91,27 +100,29 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     edges to the least neighbour by min() aggregates and joins, so no neighbourhood is collected.
     """
     cur = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
-    before = None
+    # Steps of few rows run in few tasks; there are as many more as there are edges.
+    tasks = 1 + cur.count() // 500_000
+    cur, before = cur.coalesce(tasks), None
     for _ in range(rounds):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
         least = least.select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
         # Large star: each larger neighbour v of u is linked to the least of u and its neighbours.
-        large = both.filter("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.filter("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct().coalesce(tasks)
         # Small star: u and its smaller neighbours are linked to the least of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-        joined = large.join(low, F.col("u") == F.col("k"))
+        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m").coalesce(tasks)
+        joined = large.join(low, F.col("u") == F.col("k")).coalesce(tasks)
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        cur = cut(small)
+        cur = cut(small.coalesce(tasks))
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     else:
         raise RuntimeError("components did not settle")
-    pairs = cur.groupBy("u").agg(F.min("v").alias("component"))
-    roots = cur.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return pairs.select(F.col("u").alias("node"), "component").unionByName(roots.join(pairs.select(F.col("u").alias("node")), "node", "left_anti"))
+    pairs = cur.groupBy("u").agg(F.min("v").alias("component")).coalesce(tasks)
+    roots = cur.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node")).coalesce(tasks)
+    return cut(pairs.select(F.col("u").alias("node"), "component").unionByName(roots.join(pairs.select(F.col("u").alias("node")), "node", "left_anti")).coalesce(tasks))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import components, cut, need, small_batches, words, written
+from .common import components, cut, free_name, need, small_batches, words, written
 
 SIDE, ROWS = 13, 3
 SLOTS = 1 << 22
 CELLS = 1 << 20
+PARITY = 2048
 _random = np.random.default_rng(6)
 FACTORS = _random.integers(1, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _random.integers(1, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64)
@@ -93,6 +94,23 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
+def parity(s: np.ndarray) -> bytes:
+    """The set's size, and for each of PARITY places whether an odd number of shingles falls there."""
+    odd = np.bincount((s >> np.uint64(20)).astype("i8") & PARITY - 1, minlength=PARITY) & 1
+    return len(s).to_bytes(8, "little") + np.packbits(odd.astype(bool)).tobytes()
+
+
+def may_be_similar(a: bytes, b: bytes, percent: int) -> bool:
+    """False only for sets that are not similar: places of different parity are as many as unshared shingles at most."""
+    n = int.from_bytes(a[:8], "little") + int.from_bytes(b[:8], "little")
+    apart = (int.from_bytes(a[8:], "big") ^ int.from_bytes(b[8:], "big")).bit_count()
+    return apart * (100 + percent) <= n * (100 - percent)
+
+
+def sets_similar(a: bytes, b: bytes, percent: int) -> bool:
+    return similar(np.frombuffer(a, "u8"), np.frombuffer(b, "u8"), percent)
+
+
 def _batch(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) if isinstance(v, np.ndarray) else v for v in columns.values()], names=list(columns))
 
@@ -171,7 +189,7 @@ def star_pairs(nodes: DataFrame, held: int = 8192) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
-    """node, set (sorted 64-bit hashes) of rows (node, row). A bit map of a fixed size spares the other rows' work."""
+    """node, set (sorted 64-bit hashes), parity of rows (node, row). A bit map of a fixed size spares the other rows' work."""
     slot = F.pmod(F.xxhash64("row"), F.lit(SLOTS))
     bits = rows.select((slot + 1).alias("v")).groupBy(F.bitmap_bucket_number("v").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("m")).collect()
     flags = np.zeros(SLOTS, bool)
@@ -184,36 +202,43 @@ def sets_of(docs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
         for b in batches:
             b = b.filter(pa.array(wanted[b.column("slot").to_numpy()]))
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([shingles(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())], names=["row", "set"])
+                found = [shingles(t) for t in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([s.tobytes() for s in found], pa.binary()), pa.array([parity(s) for s in found], pa.binary())], names=["row", "set", "parity"])
 
-    return docs.select("row", slot.alias("slot"), "text").mapInArrow(make, "row long, set binary").join(rows, "row").select("node", "set")
+    return docs.select("row", slot.alias("slot"), "text").mapInArrow(make, "row long, set binary, parity binary").join(rows, "row").select("node", "set", "parity")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, most: int = 1024) -> DataFrame:
-    """x, h, linked: each pair compared on its whole sets. A hub with many pairs is dealt to several tasks, each with the hub's set;
-    a task holds two sets at a time."""
+def compared(pairs: DataFrame, items: DataFrame, column: str, test, percent: int, most: int = 1024) -> DataFrame:
+    """x, h, linked: the test on the column of both nodes of each pair. A hub with many pairs is dealt to several tasks, each with what the
+    hub has; a task holds two nodes' values at a time."""
     hubs = pairs.groupBy("h").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
     dealt = pairs.join(hubs, "h").select("h", "x", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"))
-    members = dealt.join(sets.select(F.col("node").alias("x"), "set"), "x").select("h", "part", F.lit(1).alias("role"), F.col("x").alias("id"), "set")
-    heads = hubs.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(sets.select(F.col("node").alias("h"), "set"), "h").select("h", "part", F.lit(0).alias("role"), F.col("h").alias("id"), "set")
+    values = items.select("node", F.col(column).alias("value"))
+    members = dealt.join(values.withColumnRenamed("node", "x"), "x").select("h", "part", F.lit(1).alias("role"), F.col("x").alias("id"), "value")
+    heads = hubs.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(values.withColumnRenamed("node", "h"), "h").select("h", "part", F.lit(0).alias("role"), F.col("h").alias("id"), "value")
 
     def compare(batches):
         hub, own = None, None
         for b in batches:
             xs, hs, ok = [], [], []
-            for h, role, ident, data in zip(*[b.column(c).to_pylist() for c in ("h", "role", "id", "set")], strict=True):
-                s = np.frombuffer(data, "u8")
+            for h, role, ident, value in zip(*[b.column(c).to_pylist() for c in ("h", "role", "id", "value")], strict=True):
                 if not role:
-                    hub, own = h, s
+                    hub, own = h, value
                 elif h == hub:
                     xs.append(ident)
                     hs.append(h)
-                    ok.append(similar(own, s, percent))
+                    ok.append(test(own, value, percent))
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(hs, pa.int64()), pa.array(ok, pa.bool_())], names=["x", "h", "linked"])
 
     return members.unionByName(heads).repartition("h", "part").sortWithinPartitions("h", "part", "role").mapInArrow(compare, "x long, h long, linked boolean")
 
 
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """x, h, linked: each pair compared on its whole sets, but for those that their parities rule out."""
+    first = cut(compared(pairs, sets, "parity", may_be_similar, percent))
+    return first.filter("not linked").unionByName(compared(first.filter("linked").drop("linked"), sets, "set", sets_similar, percent))
+
+
 def counts_of(sets: DataFrame) -> np.ndarray:
     """Counts of the shingles in all sets in a table of a fixed number of cells, by the shingles' low bits."""
     chunk = 1 << 14
@@ -261,7 +286,7 @@ def rest_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
             if parts:
                 yield _batch(dict(zip(("shingle", "node", "n", "at", "small"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
-    rows = sets.mapInArrow(prefixes, "shingle long, node long, n long, at long, small boolean").join(groups, "node")
+    rows = sets.select("node", "set").mapInArrow(prefixes, "shingle long, node long, n long, at long, small boolean").join(groups, "node")
     of = W.partitionBy("shingle")
     rows = rows.withColumn("low", F.min("component").over(of)).withColumn("high", F.max("component").over(of)).withColumn("any", F.max("failed").over(of))
     rows = rows.filter("low <> high and any").drop("low", "high", "any")
@@ -304,7 +329,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     lost = tried.filter("not linked").select(F.explode(F.array("x", "h")).alias("node")).distinct().withColumn("failed", F.lit(True))
     groups = seen.join(first, "node", "left").join(lost, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("failed", F.lit(False)).alias("failed"))
     more = confirmed(cut(rest_pairs(sets, groups, percent)), sets, percent).filter("linked").select(F.col("x").alias("u"), F.col("h").alias("v"))
-    final = cut(components(links.unionByName(more)))
+    final = components(links.unionByName(more))
 
     least = final.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
     reached = final.join(least, "component").select("node", "component_id")
@@ -318,6 +343,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs without all but one of each component: that with the least doc_id, and of rows that repeat it the first."""
     kept = near_duplicates(docs, **options).filter("kept")
     whole = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(-1 - F.col("row"))
-    kept = kept.groupBy(whole.alias("k")).agg(F.min("row").alias("_kept_row"))
-    rows = docs.select("*", F.monotonically_increasing_id().alias("_row"))
-    return rows.join(kept.select("_kept_row"), F.col("_row") == F.col("_kept_row"), "left_semi").select(*docs.columns)
+    row, wanted = free_name(docs, "_row"), free_name(docs, "_kept_row")
+    kept = kept.groupBy(whole.alias("k")).agg(F.min("row").alias(wanted))
+    rows = docs.select("*", F.monotonically_increasing_id().alias(row))
+    return rows.join(kept.select(wanted), F.col(row) == F.col(wanted), "left_semi").select(*docs.columns)
