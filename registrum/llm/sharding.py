@@ -97,8 +97,8 @@ class ShardStore:
         return max(0, int(math.log(max(size, 1) / self.base_bytes, self.fanout))) if size > self.base_bytes else 0
 
     def plan(self, shards: list[Shard]) -> list[list[Shard]]:
-        """Runs to merge: shards of a tier, in order, up to the target size; a run has two at least and shards of the target's size rest.
-        A tier with fewer than fanout shards waits, unless all of its neighbours are done."""
+        """Runs to merge: shards of a tier, in order, up to the target size. A run has two shards at least; shards of half the target's
+        size or more rest, and a tier with fewer than fanout shards waits."""
         tiers: dict[int, list[Shard]] = {}
         for s in shards:
             if s.bytes < self.target_bytes // 2:
@@ -118,6 +118,16 @@ class ShardStore:
 
     def compact(self, schema: T.StructType) -> int:
         """Merges until no tier has a run. Each run is read and written by one task, with no shuffle; a job takes merges_per_job runs."""
+        # Else a union of one-partition tables has one partition too.
+        key = "spark.sql.unionOutputPartitioning"
+        was = self.spark.conf.get(key, None)
+        self.spark.conf.set(key, "false")
+        try:
+            return self._compact(schema)
+        finally:
+            self.spark.conf.unset(key) if was is None else self.spark.conf.set(key, was)
+
+    def _compact(self, schema: T.StructType) -> int:
         while runs := self.plan(now := self.shards(onto := self.version())):
             merged: list[Shard] = []
             gone: set[str] = set()
