@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrum.llm import decontaminate, mixing, near_dedup, quality_fm, sharding
-from registrum.llm.common import scratch
+from registrum.llm.common import free_name, scratch
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.3 go. The classifier is fitted on labelled documents among docs."""
     machine = quality_fm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_fm.with_scores(docs, machine).filter(F.col("_quality") >= 0.3).select(*docs.columns)
+    score = free_name(docs, "_quality")
+    return quality_fm.with_scores(docs, machine, score).filter(F.col(score) >= 0.3).select(*docs.columns)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import need, small_batches
+from .common import free_name, need, small_batches
 
 #: Where a mask has 0, the word there may differ.
 MASKS = ("110110101011", "1110010110111", "101101110011", "11101101")
@@ -165,4 +165,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of docs in which no test item is found."""
-    return with_leaks(docs, benchmark, **options).filter(F.col(EXTRA[0]) == 0).select(*docs.columns)
+    clashing = [c for c in docs.columns if c.lower() in EXTRA]
+    aside = {c: free_name(docs, f"_own{c}") for c in clashing}
+    found = with_leaks(docs.withColumnsRenamed(aside), benchmark, **options).filter(F.col(EXTRA[0]) == 0).drop(*EXTRA)
+    return found.withColumnsRenamed({v: k for k, v in aside.items()})

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, need, word_count
+from .common import cut, free_name, need, word_count
+
+#: Tables with a row per source are broadcast up to so many sources; beyond, Spark joins them as it joins any table.
+SOURCES = 100_000
 
 #: Steps of the uniform number, which has 48 bits.
 STEPS = float(1 << 48)
@@ -61,7 +64,7 @@ def pareto_mix(
 
     Only the bucket of the score in which a target fills up is ordered; the sums of the buckets
     before it come from one aggregate with partial sums, so a hot source is never sorted
-    in one task. The table of sources has a row per source and is joined as Spark finds it by size.
+    in one task, and rows are not dealt by source unless there are more than SOURCES of them.
 
     A null text has size 0, a null source is a source of its own, a null id is ranked as an empty one. Rows of
     one id and score share what is left of the target evenly. An empty table gives no rows.
@@ -73,9 +76,10 @@ def pareto_mix(
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("m")).alias("weighed"))
     plan = allocate(totals.select("source", "source_size"), weights, share, copies).join(totals.select(F.col("source").alias("s"), "weighed"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     plan = cut(plan.withColumn("mean", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)))
+    light = F.broadcast if plan.count() <= SOURCES else (lambda table: table)
 
     expected = F.when(F.col("weighed") > 0, F.least(F.lit(float(copies)), F.col("m") * F.col("target") / F.col("weighed"))).otherwise(0.0)
-    r = rows.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    r = rows.join(light(plan.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     r = r.withColumn("expected", expected).withColumn("whole", F.floor("expected").cast("long")).withColumn("pi", F.col("expected") - F.col("whole"))
     r = r.withColumn("score", F.when(F.col("pi") > 0, F.col("u") / (1 - F.col("u")) / (F.col("pi") / (1 - F.col("pi")))))
     # The bucket is about uniform in the source: the score over the odds at the source's mean gives u back.
@@ -92,14 +96,14 @@ def pareto_mix(
     edge = cut(sums.filter("bucket >= 0 and before < budget and before + words >= budget").select(F.col("source").alias("s"), F.col("bucket").alias("edge"), (F.col("budget") - F.col("before")).alias("left")))
     full = sums.groupBy(F.col("source").alias("f")).agg(F.max("budget").alias("budget"))
 
-    near = r.join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("edge")))
+    near = r.join(light(edge), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("edge")))
     near = near.groupBy("source", "left", "bucket", "score", "doc_id").agg(F.sum("size").alias("words"), F.count("*").alias("same"))
     run = W.partitionBy("source").orderBy("score", F.col("doc_id").isNull(), "doc_id")
     near = near.withColumn("upto", F.sum("words").over(run))
     last = near.filter("upto >= left and upto - words < left").select(F.col("source").alias("l"), F.col("score").alias("last_score"), F.col("doc_id").alias("last_id"), F.expr("(left - (upto - words)) div same").alias("last_words"))
     stop = cut(full.join(last, F.col("f").eqNullSafe(F.col("l")), "left").drop("l"))
 
-    out = r.join(stop, F.col("source").eqNullSafe(F.col("f")))
+    out = r.join(light(stop), F.col("source").eqNullSafe(F.col("f")))
     later_id = F.when(F.col("last_id").isNull(), F.lit(False)).otherwise(F.col("doc_id").isNull() | (F.col("doc_id") > F.col("last_id")))
     more = (
         F.when((F.col("pi") <= 0) | (F.col("budget") <= 0), 0)
@@ -121,6 +125,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     mix = pareto_mix(docs, **options)
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))).cast("int")
-    mix = mix.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max(times).alias("_mix_times")).filter("_mix_times > 0")
-    kept = docs.join(mix, F.col("doc_id").eqNullSafe(F.col("_mix_id")))
-    return kept.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*[docs[c] for c in docs.columns])
+    ident, count, copy = (free_name(docs, n) for n in ("_mix_id", "_mix_times", "_mix_copy"))
+    mix = mix.groupBy(F.col("doc_id").alias(ident)).agg(F.max(times).alias(count)).filter(F.col(count) > 0)
+    kept = docs.join(mix, F.col("doc_id").eqNullSafe(F.col(ident)))
+    return kept.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(count)))).select(*docs.columns)
