@@ -27,3 +27,35 @@ SELECT doc_id, size, source_size, target,
        CAST(whole * size + CASE WHEN pi > 0 THEN greatest(least(size, budget - (upto - size)), 0) ELSE 0 END AS BIGINT) AS taken
 FROM s
 """
+
+OP6 = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, list_extract(ws, i) || ' ' || list_extract(ws, i + 1) AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM w WHERE len(ws) > 1) x
+  UNION ALL SELECT doc_id, list_extract(ws, 1) FROM w WHERE len(ws) = 1),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+k AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+l AS MATERIALIZED (SELECT x, y FROM k UNION ALL SELECT y, x FROM k),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.y FROM r JOIN l ON l.x = r.b),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM documents d JOIN m ON m.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+OP8 = r"""
+WITH h AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+w AS (SELECT doc_id, p, substr(x, 2 * p + 1, 200) AS s FROM (SELECT doc_id, x, unnest(range(0, n - 99)) AS p FROM h WHERE n >= 100) t),
+f AS MATERIALIZED (SELECT s, min(doc_id) AS d0 FROM w GROUP BY s HAVING count(*) > 1),
+g AS (SELECT w.doc_id, w.p, row_number() OVER (PARTITION BY w.s ORDER BY w.doc_id, w.p) AS k FROM w JOIN f ON f.s = w.s),
+i AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+      FROM (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh FROM g WHERE k > 1) t),
+r AS MATERIALIZED (SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM i GROUP BY doc_id, run),
+c AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM r
+      UNION ALL SELECT h.doc_id, coalesce(max(r.b), 0), any_value(h.n) FROM h LEFT JOIN r ON r.doc_id = h.doc_id GROUP BY h.doc_id),
+t AS (SELECT c.doc_id, string_agg(substr(h.x, 2 * c.a + 1, 2 * (c.b - c.a)), '' ORDER BY c.a) AS x FROM c JOIN h ON h.doc_id = c.doc_id GROUP BY c.doc_id),
+z AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM r GROUP BY doc_id)
+SELECT h.doc_id, h.n AS n_bytes, coalesce(z.n_removed, 0) AS n_removed, coalesce(z.n_spans, 0) AS n_spans, sha256(unhex(t.x)) AS kept_sha256
+FROM h JOIN t ON t.doc_id = h.doc_id LEFT JOIN z ON z.doc_id = h.doc_id
+"""

@@ -61,4 +61,4 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pareto_mix, op2_tiered_sharding, op3_hmm_language_model, op4_token_store, op5_matroska, op6_tensored_minhash, op7_separator_scan, op8_column_suffix_dedup, op9_quality_fm, op10_spaced_seeds)}
-ORACLES = {"op1_pareto_mix": oracles.OP1}
+ORACLES = {"op1_pareto_mix": oracles.OP1, "op6_tensored_minhash": oracles.OP6, "op8_column_suffix_dedup": oracles.OP8}

@@ -2,7 +2,7 @@ import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names the operators use inside.
-CLASHING = {"row": "a", "node": "b", "key": "c", "d": "d", "size": "e", "u": "f", "score": "g", "taken": "h", "n": "i", "media": "j", "_row": "k", "bucket": "l"}
+CLASHING = {"row": "a", "node": "b", "key": "c", "d": "d", "size": "e", "u": "f", "score": "g", "taken": "h", "n": "i", "media": "j", "_row": "k", "bucket": "l", "_kept_row": "m", "_mix_id": "n", "_leak_item": "o"}
 
 
 @pytest.fixture(scope="session")

@@ -84,6 +84,7 @@ def test_parts_of_long_texts(corpus, monkeypatch):
 
 def test_odd_rows(odd, empty, corpus):
     assert digest(dedup(odd)).count() == 10 and digest(dedup(empty)).collect() == []
-    text = "".join(random.Random(1).choice("abcdef") for _ in range(300))
+    r = random.Random(1)
+    text = "".join(r.choice("abcdef") for _ in range(300))
     rows = digest(dedup(corpus([(3, text), (1, text), (1, text), (None, text)]))).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_removed) for r in rows) == [(False, 1, 0), (False, 1, 300), (False, 3, 300), (True, 0, 300)]
