@@ -58,28 +58,30 @@ def build(strings: list[bytes], limit: int = 64 << 20) -> tuple[np.ndarray, np.n
     ends = np.cumsum(sizes)
     store = Columns(limit)
 
+    kind = "u1" if not len(flat) or flat.max() < 255 else "u2"  # a byte is sorted in one pass
+    coded = flat.astype(kind) + np.dtype(kind).type(1)
+
     def symbols(who: np.ndarray, length: int) -> np.ndarray:
         """The symbol before the suffix of the length."""
-        out = np.zeros(len(who), "u2")
+        out = np.zeros(len(who), kind)
         left = sizes[who] > length
-        out[left] = flat[ends[who[left]] - 1 - length].astype("u2") + 1
+        out[left] = coded[ends[who[left]] - 1 - length]
         return out
 
-    who = np.arange(m, dtype="i4")
-    size = np.zeros(m, "i4")
+    who = np.arange(m, dtype="i8") << 32  # with the suffix's length in the low half
     lcp = np.zeros(m, "i4")
-    bwt = symbols(who, 0)
+    bwt = symbols(who >> 32, 0)
     at = np.flatnonzero(bwt)  # the last inserted suffixes that go on
     n, length = m, 0
     while len(at):
         length += 1
         order = np.argsort(bwt, kind="stable")
-        rank = np.empty(n, "i8")
-        rank[order] = np.arange(n)
+        rank = np.empty(n, "i4")
+        rank[order] = np.arange(n, dtype="i4")
         ended = n - np.count_nonzero(bwt)
         mine = rank[at]
         new = m + mine - ended
-        owner = who[at]
+        owner = who[at] >> 32
         # Common prefixes with the neighbours that have the same symbol.
         before = order[np.maximum(mine - 1, 0)]
         same = (mine > 0) & (bwt[before] == bwt[at])
@@ -89,9 +91,8 @@ def build(strings: list[bytes], limit: int = 64 << 20) -> tuple[np.ndarray, np.n
         follows = (mine + 1 < n) & (bwt[after] == bwt[at])
         next_lcp = least_between(lcp, at[follows], after[follows]) + 1
         total = n + len(at)
-        fresh = np.zeros(total, bool)
-        fresh[new] = True
-        old = np.flatnonzero(~fresh)
+        old = np.ones(total, bool)
+        old[new] = False
         by_place = np.argsort(new, kind="stable")
         place = new[by_place]
 
@@ -101,15 +102,15 @@ def build(strings: list[bytes], limit: int = 64 << 20) -> tuple[np.ndarray, np.n
             out[place] = added
             return out
 
-        held = bwt, lcp, who, size
+        held = bwt, lcp, who
         lcp2 = merged(lcp, own[by_place])
         lcp2[new[follows] + 1] = next_lcp
         ends_next = (new + 1 < total) & ~follows
         lcp2[new[ends_next] + 1] = 0
-        bwt, lcp, who, size = (store.hold(x) for x in (merged(bwt, symbols(owner[by_place], length)), lcp2, merged(who, owner[by_place]), merged(size, np.full(len(at), length, "i4"))))
+        bwt, lcp, who = (store.hold(x) for x in (merged(bwt, symbols(owner[by_place], length)), lcp2, merged(who, owner[by_place] << 32 | length)))
         store.drop(*held)
         at = place[np.asarray(bwt)[place] > 0]
         n = total
-    out = tuple(np.array(x) for x in (bwt, lcp, who, size))
+    out = np.array(bwt), np.array(lcp), np.asarray(who) >> 32, np.asarray(who) & (1 << 32) - 1
     store.close()
     return out

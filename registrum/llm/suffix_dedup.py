@@ -108,7 +108,7 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def collection_spans(strings: DataFrame, window: int, block: int = 4096) -> DataFrame:
+def collection_spans(strings: DataFrame, window: int, block: int = 1024) -> DataFrame:
     """row, s, e: spans covered by windows that occur earlier among the strings (key, part, common, d, row, a, bytes) of one key, part and common.
     Tasks read sorted strings and build the transform of whole groups, together about `block` strings."""
 
