@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
+from itertools import chain, islice
 
 import numpy as np
 
-#: White space with the piece after it. Byte-level BPE never joins text across the start of such a piece:
+#: White space with the piece after it. A line break alone between two pieces is a token of its own. Byte-level BPE never joins text across the start of such a piece:
 #: its pattern ends every token before a run of white space, whose last space starts the next token.
 PIECE = re.compile(r"\s*\S+|\s+")
 RUN = re.compile(r"\s\s")
@@ -39,17 +40,17 @@ def ranked(path: str, pattern: str) -> Callable[[list[str]], list[list[int]]]:
 class Encoder:
     """Serialized ids of texts, as little-endian unsigned integers of width bytes.
 
-    Pieces met before are looked up; the memo is emptied when it holds limit pieces, so memory is bounded.
+    Pieces met before are looked up. A memo of limit pieces goes back to the third that came first, among which
+    the common ones are, so memory is bounded.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], width: int, limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], width: int, limit: int = 900_000):
         self.encode, self.dtype, self.limit, self.memo = encode, np.dtype(f"<u{width}"), limit, {"": b""}
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         memo = self.memo
         if len(memo) > self.limit:
-            memo.clear()
-            memo[""] = b""
+            memo = self.memo = dict(islice(memo.items(), self.limit // 3))
         split, unseen = [], set()
         for text in texts:
             if not text:
@@ -57,19 +58,34 @@ class Encoder:
             elif "\0" in text or RUN.search(text):
                 pieces = PIECE.findall(text)
             else:
-                pieces = text.replace(" ", "\0 ").split("\0")
+                pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
             split.append(pieces)
             unseen.update(set(pieces).difference(memo))
-        new = list(unseen)
+        self.learn(unseen)
+        get = memo.__getitem__
+        return [b"".join(map(get, pieces)) for pieces in split]
+
+    def learn(self, unseen: set[str]) -> None:
+        memo, ended, new = self.memo, [], set()
+        for piece in unseen:
+            # A mark after a letter or a digit is a token of its own.
+            if piece[-1] in ".," and piece[-2:-1].isalnum():
+                ended.append(piece)
+                if piece[:-1] not in memo:
+                    new.add(piece[:-1])
+            else:
+                new.add(piece)
+        new.update(x for x in ".," if x not in memo)
+        new = list(new)
         for k in range(0, len(new), 20_000):
             part = new[k : k + 20_000]
             ids = self.encode(part)
-            flat = np.fromiter((i for x in ids for i in x), dtype=self.dtype).tobytes()
+            flat = np.array(list(chain.from_iterable(ids)), dtype=self.dtype).tobytes()
             at = 0
             for piece, x in zip(part, ids, strict=True):
                 memo[piece] = flat[at : (at := at + len(x) * self.dtype.itemsize)]
-        get = memo.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+        for piece in ended:
+            memo[piece] = memo[piece[:-1]] + memo[piece[-1]]
 
 
 _encoders: dict[tuple, Encoder] = {}
