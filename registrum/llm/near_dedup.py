@@ -6,10 +6,11 @@ similarity s share a key unless all left or all right groups differ, which has a
 2 * (1 - s ** ROWS) ** SIDE: 2e-4 at 0.8, 8e-6 at 0.85, 1e-7 at 0.9.
 
 Documents with one shingle set are one node. In each bucket the nodes are first compared with one of
-them, the hub, so a bucket of n nodes gives n pairs. Nodes that fail against a hub are then compared exactly with
-all other bucketed nodes of other components, by a prefix filter: in the order of rising counts, the first shingles of
-two similar sets must meet. So no link is lost between nodes that share a bucket, and no pairs within
-a component are formed.
+them, the hub, so a bucket of n nodes gives n pairs. Where a pair fails, all nodes of the components of its two nodes
+are then compared exactly with all bucketed nodes of other components, by a prefix filter: in the order of rising counts,
+the first shingles of two similar sets must meet. Two nodes that share a bucket are joined by a path over hubs; if it does
+not make them one component, a pair on it failed in the component of each. So no link is lost between nodes that
+share a bucket, and no pairs within a component are formed.
 """
 
 from __future__ import annotations
@@ -265,7 +266,7 @@ def counts_of(sets: DataFrame) -> np.ndarray:
 
 
 def rest_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, h) of nodes of different components that may be similar, one of them at least failed against a hub.
+    """Pairs (x, h) of nodes of different components that may be similar, the component of one of them at least failed against a hub.
 
     groups: node, component, failed. With t = percent / 100, a set of n shingles shows its first n - ceil(t n) + 1 to smaller sets and its
     first n - ceil(2 t n / (1 + t)) + 1 to larger ones; a pair also needs enough shingles after the one it meets at.
@@ -327,7 +328,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     links = tried.filter("linked").select(F.col("x").alias("u"), F.col("h").alias("v"))
     first = components(links)
     lost = tried.filter("not linked").select(F.explode(F.array("x", "h")).alias("node")).distinct().withColumn("failed", F.lit(True))
-    groups = seen.join(first, "node", "left").join(lost, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("failed", F.lit(False)).alias("failed"))
+    groups = cut(seen.join(first, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+    lost = groups.join(lost, "node").select("component", "failed").distinct()
+    groups = groups.join(lost, "component", "left").select("node", "component", F.coalesce("failed", F.lit(False)).alias("failed"))
     more = confirmed(cut(rest_pairs(sets, groups, percent)), sets, percent).filter("linked").select(F.col("x").alias("u"), F.col("h").alias("v"))
     final = components(links.unionByName(more))
 

@@ -58,6 +58,28 @@ def test_chains(corpus):
     assert {x.component_id for x in near_duplicates(corpus(texts), shingle=2).collect()} == {v[1] for v in brute(list(enumerate(texts)), 2).values()}
 
 
+def test_link_that_does_not_run_through_hubs(corpus, monkeypatch):
+    """Two groups of near copies in tasks of their own; of all pairs between them only that of the two last nodes, which are no hubs, is similar."""
+    common = [f"s{k}" for k in range(80)]
+    x, y = common + [f"x{k}" for k in range(10)], common + [f"y{k}" for k in range(10)]
+    groups = [[[w if w != f"s{k}" else f"{g}{k}" for w in last] for k in range(30)] + [last] for g, last in (("a", x), ("b", y))]
+    texts = [" ".join(t) for g in groups for t in g]
+    docs = corpus(texts).coalesce(1)
+    keep = near_dedup.written
+
+    def two_tasks(df, name, *codec):
+        out = keep(df, name, *codec)
+        if name != "nodes":
+            return out
+        out = out.withColumn("node", out.row).repartitionByRange(2, out.least >= 31)
+        assert out.rdd.glom().map(lambda rows: {r.least >= 31 for r in rows}).collect() == [{False}, {True}]
+        return out
+
+    monkeypatch.setattr(near_dedup, "written", two_tasks)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs, shingle=1).collect()}
+    assert got == brute(list(enumerate(texts)), 1) and sum(k for _, _, k in got.values()) == 1
+
+
 def test_parity_rules_out_only_what_is_not_similar():
     r = np.random.default_rng(1)
     for n in (5, 50, 800):
