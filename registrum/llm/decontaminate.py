@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
 from itertools import repeat
 
 import numpy as np
@@ -63,16 +64,17 @@ class Seeds:
                 order = np.argsort(h, kind="stable")
                 self.tables.append((mask, h[order], item[order], at[order]))
 
-    def segment(self, doc: np.ndarray, item: int, shift: int) -> tuple[int, int]:
-        """(equal words, length) of the best run of the item against doc at doc place shift: equal words count 1, others -2."""
+    def most_equal(self, doc: np.ndarray, item: int, shift: int) -> int:
+        """The most equal words of a run of the item against doc at doc place shift of which they are at least the identity."""
         ids = self.items[item]
         a, b = max(0, -shift), min(len(ids), len(doc) - shift)
         same = doc[a + shift : b + shift] == ids[a:b]
-        total = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-        low = np.minimum.accumulate(total)
-        end = int(np.argmax(total - low))
-        begin = int(np.argmin(total[: end + 1]))
-        return int(same[begin:end].sum()), end - begin
+        equal = np.concatenate([[0], np.cumsum(same)])
+        part = Fraction(self.identity).limit_denominator(10_000)
+        # A run qualifies where the balance is not lower at its end than at its begin; the first such begin has the most equal words.
+        balance = part.denominator * equal - part.numerator * np.arange(len(equal))
+        begin = np.searchsorted(-np.minimum.accumulate(balance), -balance, "left")
+        return int((equal - equal[begin]).max())
 
     def matches(self, docs: list[list[bytes]]) -> list[dict[int, int]]:
         """For each document the items found in it and their equal words."""
@@ -103,8 +105,8 @@ class Seeds:
             return out
         for doc, item, shift in np.unique(np.concatenate(seen), axis=0).tolist():
             size = len(docs[doc])
-            equal, length = self.segment(flat[starts[doc] : starts[doc] + size], item, shift)
-            if equal >= min(self.min_match, len(self.items[item])) and equal >= self.identity * length:
+            equal = self.most_equal(flat[starts[doc] : starts[doc] + size], item, shift)
+            if equal >= min(self.min_match, len(self.items[item])):
                 name = self.names[item]
                 out[doc][name] = max(out[doc].get(name, 0), equal)
         return out

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from registrum.llm.decontaminate import Seeds, clean, leaks, plain_words
+from registrum.llm.decontaminate import MASKS, Seeds, clean, leaks, plain_words
 from registrum.llm.quality_fm import EDGES, SIZE, Machine, extract, quality_scores, train, with_scores
 
 
@@ -91,6 +91,23 @@ def test_substitutions_against_brute_force():
     assert all(e <= set(f) for f, e in zip(found, exact, strict=True))
 
 
+def test_each_run_of_an_alignment_with_a_seed():
+    r = random.Random(5)
+    pairs = []
+    for k in range(120):
+        item = [f"i{k}x{j}" for j in range(r.choice([14, 30, 60, 100]))]
+        rate = r.choice([0.1, 0.2, 0.25, 0.3])
+        pairs.append((item, ["other" if r.random() < rate else w for w in item]))
+    item = [f"e{j}" for j in range(60)]
+    pairs.append((item, item[:13] + [w if j % 3 else "other" for j, w in enumerate(item[13:])]))
+    for item, doc in pairs:
+        seeded = any(all(c == "0" or doc[k + o] == item[k + o] for o, c in enumerate(m)) for m in MASKS for k in range(len(item) - len(m) + 1))
+        same = [a == b for a, b in zip(item, doc, strict=True)]
+        runs = [n for x in range(len(same)) for y in range(x + 1, len(same) + 1) if (n := sum(same[x:y])) >= 13 and 5 * n >= 4 * (y - x)]
+        found = Seeds([(7, " ".join(item))]).matches([[w.encode() for w in doc]])
+        assert found == [{7: max(runs)} if runs and seeded else {}]
+
+
 def test_blocks_and_odd_rows(odd, empty, corpus, spark):
     r = random.Random(4)
     items = [(k, " ".join(words(r, 30))) for k in range(40)]
