@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 
 from .common import free_name, need, small_batches
 
-#: Where a mask has 0, the word there may differ.
-MASKS = ("110110101011", "1110010110111", "101101110011", "11101101")
+#: Where a mask has 0, the word there may differ. The last has a seed in each run of 13 equal words or more with s others that are at
+#: most a fifth: 13 or 4 s equal words fall into s + 1 stretches, so one of these has four.
+MASKS = ("110110101011", "1110010110111", "101101110011", "11101101", "1111")
 #: Of texts in lower case: ASCII marks to spaces. What is left between spaces is a word.
 TABLE = bytes(ord(c.lower()) if (c := chr(i)).isalnum() and i < 128 else i if i >= 128 else 32 for i in range(256))
 FACTORS = np.random.default_rng(20).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

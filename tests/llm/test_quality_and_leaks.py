@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -108,6 +109,12 @@ def test_each_run_of_an_alignment_with_a_seed():
         assert found == [{7: max(runs)} if runs and seeded else {}]
 
 
+def test_each_short_run_has_a_seed():
+    for n, others in ((13, 0), (14, 1), (15, 2), (16, 3), (17, 3), (20, 4)):
+        for at in combinations(range(n), others):
+            assert any(all(c == "0" or k + o not in at for o, c in enumerate(m)) for m in MASKS for k in range(n - len(m) + 1))
+
+
 def test_blocks_and_odd_rows(odd, empty, corpus, spark):
     r = random.Random(4)
     items = [(k, " ".join(words(r, 30))) for k in range(40)]
