@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,9 +35,11 @@ def crc_of(doc_id) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a temporary one in local mode; an error on a cluster."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="registrum-")
         spark.conf.set("spark.checkpoint.dir", at)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -53,22 +57,46 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop(spark: SparkSession, at: str) -> None:
+    """Deletes a path of scratch() that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, computed once and kept in the shared folder."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    with small_batches(df.sparkSession):
+        return df.checkpoint()
 
 
-def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "zstd", at: str | None = None) -> DataFrame:
     """The same rows as a Parquet table in the shared folder."""
-    at = scratch(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(at)
+    at = at or scratch(df.sparkSession, name)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", codec).parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds the Arrow batches that go to Python, so that batches of long texts stay small too."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> Iterator[None]:
+    """Bounds rows and bytes of the Arrow batches that go to Python in jobs that run inside, and then sets them back."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def sliced(batches, rows: int = 1000):
+    """Batches of so many rows at most, for functions that run in jobs of the caller."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
 
 
 def filesystem(uri: str):
@@ -129,23 +157,72 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-#: Bits of a map of rows or keys.
-MAP_BITS = 1 << 25
+def from_files(docs: DataFrame) -> bool:
+    """Whether the rows come straight from files, without a step that may give them in another order when it runs again."""
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    nodes = [plan]
+    while nodes:
+        p = nodes.pop()
+        if p.nodeName() not in ("Project", "Filter") and not (p.nodeName() == "LogicalRelation" or p.nodeName().startswith("Relation")):
+            return False
+        if not p.deterministic():
+            return False
+        nodes += [p.children().apply(k) for k in range(p.children().size())]
+    return True
 
 
-def bit_map(keys: DataFrame, column: str) -> bytes:
-    """The low bits of a long column as a map of MAP_BITS bits, a size that does not grow with the data."""
-    place = F.col(column).bitwiseAND(F.lit(MAP_BITS - 1)) + 1
-    parts = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()
-    out = bytearray(MAP_BITS // 8)
-    for r in parts:
-        out[(r.b - 1) * 4096 : r.b * 4096] = r.m
-    return bytes(out)
+#: A row's number is its part of the table, shifted by so many bits, and its place in the part.
+PLACE_BITS = 33
 
 
-def in_map(bits: bytes, keys):
-    """Which of an array of 64-bit keys may be in the map; those that were put in it all are."""
-    import numpy as np
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """docs with the number of each row in the column name. The numbers are those of the places in the files that docs is read from; rows that come
+    from anything else are written to the shared folder first."""
+    if not from_files(docs):
+        docs = written(docs, "rows")
+    return docs.select("*", F.monotonically_increasing_id().alias(name))
+
+
+def beside(rows: DataFrame, name: str) -> str:
+    """Writes rows about numbered rows (row and whole numbers) so that a task that reads a part of the numbered table finds what is about it."""
+    at = scratch(rows.sparkSession, name)
+    part = F.shiftright("row", PLACE_BITS).alias("p")
+    rows.select("*", part).repartition("p").sortWithinPartitions("p", "row").write.partitionBy("p").option("compression", "zstd").parquet(at)
+    return at
+
 
-    at = keys.view("u8") & np.uint64(MAP_BITS - 1)
-    return (np.frombuffer(bits, "u1")[(at >> np.uint64(3)).astype("i8")] >> (at & np.uint64(7)).astype("u1")) & 1 > 0
+class Beside:
+    """What beside() has written about rows of one part of the table, which come in the order of their numbers. Holds what is about one part."""
+
+    def __init__(self, at: str):
+        self.at, self.part = at, None
+
+    def _open(self, part: int) -> None:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        fs, at = filesystem(self.at)
+        found = fs.get_file_info(pafs.FileSelector(f"{at}/p={part}", allow_not_found=True))
+        tables = []
+        for i in sorted(x.path for x in found if x.path.endswith(".parquet")):
+            with fs.open_input_file(i) as f:
+                tables.append(pq.ParquetFile(f).read())
+        self.part, self.table = part, None
+        if tables:
+            table = pa.concat_tables(tables)
+            columns = {c: table.column(c).to_numpy() for c in table.column_names}
+            if len(tables) > 1:
+                order = np.argsort(columns["row"], kind="stable")
+                columns = {c: x[order] for c, x in columns.items()}
+            self.table, self.rows = columns, columns["row"]
+
+    def of(self, row: int) -> dict | None:
+        """The columns of what is about a row; None if there is nothing."""
+        if (part := row >> PLACE_BITS) != self.part:
+            self._open(part)
+        if self.table is None:
+            return None
+        lo, hi = self.rows.searchsorted(row, "left"), self.rows.searchsorted(row, "right")
+        return {c: x[lo:hi] for c, x in self.table.items()} if hi > lo else None

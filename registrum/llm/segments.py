@@ -35,13 +35,13 @@ class Segmenter:
             self.up, self.down = powers(BASE, n), powers(pow(BASE, -1, 1 << 64), n)
         return self.up[:n], self.down[:n]
 
-    def __call__(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of documents laid end to end in data, the ends given: first windows, numbers of windows, minimizers' places and hashes, of the
-        segments. All places are in data, which has at most 2 ** 24 bytes."""
+    def __call__(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of documents laid end to end in data, the ends given: first windows, numbers of windows, minimizers' places and hashes, and hashes
+        of the bytes, of the segments. All places are in data, which has at most 2 ** 24 bytes."""
         n, w, g = len(data), self.window, self.gram
         none = np.zeros(0, "i8")
         if n < w:
-            return none, none, none, np.zeros(0, "u8")
+            return none, none, none, np.zeros(0, "u8"), np.zeros(0, "u8")
         up, down = self._powers(n + 1)
         total = np.zeros(n + 1, "u8")
         np.cumsum((data.astype("u8") + np.uint64(1)) * up[:n], out=total[1:])
@@ -71,4 +71,7 @@ class Segmenter:
         new[starts[long]] = True
         first = np.flatnonzero(new & valid)
         stop = np.flatnonzero(valid & np.concatenate([(new | ~valid)[1:], [True]]))
-        return first, stop - first + 1, at[first], h[at[first]]
+        prints = (total[stop + w] - total[first]) * down[first]
+        prints ^= prints >> np.uint64(31)
+        prints *= np.uint64(MIX)
+        return first, stop - first + 1, at[first], h[at[first]], prints ^ prints >> np.uint64(29)

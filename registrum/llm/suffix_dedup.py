@@ -10,19 +10,21 @@ Burrows-Wheeler transform with its common prefixes is built for them in as many
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .collection_bwt import build
-from .common import bit_map, in_map, need, small_batches, written
+from .common import Beside, beside, need, numbered, sliced, written
 from .segments import Segmenter
 
 GRAM = 32
 LAST = (1 << 63) - 1
 PART = 8 << 20
-#: Segments of one minimizer beyond which they are cut further, and the places of a minimizer in a window that then stay together.
+#: Strings of one group beyond which it is cut further, and the places of a minimizer in a window that then stay together.
 HOT, STRIDE = 2048, 8
 
 
@@ -49,29 +51,88 @@ def parts_of(batches, columns: tuple[str, ...], window: int):
         yield values, np.array(offsets), b"".join(held), np.cumsum([len(x) for x in held])
 
 
-def segments(docs: DataFrame, window: int, bits=None) -> DataFrame:
-    """key (minimizer), print (of the segment's bytes), n (windows), d, row, a (first window), mini (the minimizer's place) of each
-    segment, or with bits of those whose key may be in that map."""
+SEGMENT = "key long, print long, n int, d long, row long, a long, mini int, again boolean"
 
-    def make(batches):
-        import xxhash
 
+def segments(docs: DataFrame, window: int) -> DataFrame:
+    """key (minimizer), print (of the segment's bytes), n (windows), d, row, a (first window), mini (the minimizer's distance from a) of each
+    segment. again: an equal segment starts earlier in the same two megabytes of text, so a segment of countless copies has a row or so per
+    task that is not marked."""
+
+    def make(batches):
         cutter = Segmenter(window, GRAM)
-        for values, offsets, data, ends in parts_of(batches, ("row", "d"), window):
-            first, n, mini, h = cutter(np.frombuffer(data, "u1"), ends)
-            if bits is not None:
-                want = in_map(bits.value, h)
-                first, n, mini, h = first[want], n[want], mini[want], h[want]
+        for values, offsets, data, ends in parts_of(sliced(batches), ("row", "d"), window):
+            first, n, mini, h, prints = cutter(np.frombuffer(data, "u1"), ends)
             if not len(first):
                 continue
             doc = np.searchsorted(ends, first, "right")
             shift = offsets[doc] - np.concatenate([[0], ends[:-1]])[doc]
-            digest = xxhash.xxh3_64_intdigest
-            prints = np.fromiter((digest(data[x:y]) for x, y in zip(first.tolist(), (first + n + window - 1).tolist(), strict=True)), "u8", len(first)) if bits is not None else np.zeros(len(first), "u8")
-            rows, ds = (np.array([v[k] for v in values], "i8")[doc] for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view("i8"), prints.view("i8"), n.astype("i4"), ds, rows, first + shift, (mini - first).astype("i4"))], names=["key", "print", "n", "d", "row", "a", "mini"])
+            row, d = (np.array([v[k] for v in values], "i8") for k in (0, 1))
+            rank = np.empty(len(row), "i8")
+            rank[np.lexsort((offsets, row, d))] = np.arange(len(row))
+            order = np.lexsort((first, rank[doc], prints))
+            same = np.concatenate([[False], (prints[order][1:] == prints[order][:-1]) & (h[order][1:] == h[order][:-1]) & (n[order][1:] == n[order][:-1])])
+            again = np.empty(len(first), bool)
+            again[order] = same
+            columns = (h.view("i8"), prints.view("i8"), n.astype("i4"), d[doc], row[doc], first + shift, (mini - first).astype("i4"), again)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "print", "n", "d", "row", "a", "mini", "again"])
+
+    return docs.select("row", "d", "text").mapInArrow(make, SEGMENT)
+
 
-    return docs.select("row", "d", "text").mapInArrow(make, "key long, print long, n int, d long, row long, a long, mini int")
+def told_apart(found: DataFrame, window: int) -> DataFrame:
+    """Of all segments, in one shuffle by key: copies (kind 0: spans s, e of segments that are found earlier) and strings to look into (kind 1: the
+    first of each segment whose key has other segments; size: how many, as far as it tells whether they are above HOT).
+
+    Rows of a key come sorted; a task holds the different segments of one key up to HOT of them. Marked rows need no look at their key and
+    are dealt by their place."""
+    schema = "kind int, key long, n int, row long, a long, mini int, size int, s long, e long"
+    names = ("key", "print", "n", "d", "row", "a", "mini")
+
+    def make(batches):
+        carry, gone = {c: np.zeros(0, "i8") for c in names}, 0  # the open key's different segments, and how many of them were handed over
+
+        def wanted(x: dict, size: np.ndarray) -> pa.RecordBatch:
+            none = pa.nulls(len(size), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(size), "i4")), pa.array(x["key"]), pa.array(x["n"].astype("i4")), pa.array(x["row"]), pa.array(x["a"]), pa.array(x["mini"].astype("i4")), pa.array(np.minimum(size, HOT + 1).astype("i4")), none, none], names=["kind", "key", "n", "row", "a", "mini", "size", "s", "e"])
+
+        def spans(row: np.ndarray, a: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            none, small = pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(row), "i4")), none, small, pa.array(row), none, small, small, pa.array(a), pa.array(a + n + window - 1)], names=["kind", "key", "n", "row", "a", "mini", "size", "s", "e"])
+
+        for b in batches:
+            again = b.column("again").to_numpy(zero_copy_only=False)
+            x = {c: b.column(c).to_numpy().astype("i8") for c in names}
+            if again.any():
+                yield spans(x["row"][again], x["a"][again], x["n"][again])
+                x = {c: v[~again] for c, v in x.items()}
+            x = {c: np.concatenate([carry[c], x[c]]) for c in names}
+            if not len(x["key"]):
+                continue
+            same = np.concatenate([[False], (x["key"][1:] == x["key"][:-1]) & (x["print"][1:] == x["print"][:-1]) & (x["n"][1:] == x["n"][:-1])])
+            if same.any():
+                yield spans(x["row"][same], x["a"][same], x["n"][same])
+                x = {c: v[~same] for c, v in x.items()}
+            starts = np.flatnonzero(np.concatenate([[True], x["key"][1:] != x["key"][:-1]]))
+            counts = np.diff(np.append(starts, len(x["key"])))
+            size = counts.copy()
+            size[0] += gone
+            last = starts[-1]
+            each = np.repeat(size, counts)
+            done = (each > 1) & (np.arange(len(each)) < last)
+            if done.any():
+                yield wanted({c: v[done] for c, v in x.items()}, each[done])
+            gone = gone if len(starts) == 1 else 0
+            carry = {c: v[last:] for c, v in x.items()}
+            if len(carry["key"]) > HOT:
+                yield wanted({c: v[:-1] for c, v in carry.items()}, np.full(len(carry["key"]) - 1, HOT + 1))
+                gone += len(carry["key"]) - 1
+                carry = {c: v[-1:] for c, v in carry.items()}
+        if len(carry["key"]) + gone > 1:
+            yield wanted(carry, np.full(len(carry["key"]), len(carry["key"]) + gone))
+
+    dealt = found.repartition(F.when(F.col("again"), F.xxhash64("row", "a")).otherwise(F.col("key")))
+    return written(dealt.sortWithinPartitions("key", "print", "n", "d", "row", "a").mapInArrow(make, schema), "segments")
 
 
 def repeated_windows(strings: list[bytes], order: list[tuple[int, int, int]], window: int) -> list[list[int]]:
@@ -108,25 +169,49 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
+def partnered(strings: list[bytes], places: list[int], groups: list, window: int) -> list[int]:
+    """Which strings may share a window with another of their group. All of a group's strings have the minimizer at the place given; a window has
+    half of what it has besides on its left or on its right, so strings that share a window share the minimizer with that half."""
+    half = -(-(window - GRAM) // 2)
+    met: Counter = Counter()
+    sides = []
+    for s, m, g in zip(strings, places, groups, strict=True):
+        pair = [(g, 0, s[m - half : m + GRAM])] if m >= half else []
+        if len(s) >= m + GRAM + half:
+            pair.append((g, 1, s[m : m + GRAM + half]))
+        sides.append(pair)
+        met.update(pair)
+    return [k for k, pair in enumerate(sides) if any(met[x] > 1 for x in pair)]
+
+
+def joined(s: np.ndarray, e: np.ndarray) -> list[tuple[int, int]]:
+    """merged() of spans in arrays."""
+    order = np.argsort(s, kind="stable")
+    s, top = s[order], np.maximum.accumulate(e[order])
+    new = np.flatnonzero(np.concatenate([[True], s[1:] > top[:-1]]))
+    return list(zip(s[new].tolist(), top[np.append(new[1:], len(s)) - 1].tolist(), strict=True))
+
+
 def collection_spans(strings: DataFrame, window: int, block: int = 1024) -> DataFrame:
-    """row, s, e: spans covered by windows that occur earlier among the strings (key, part, common, d, row, a, bytes) of one key, part and common.
-    Tasks read sorted strings and build the transform of whole groups, together about `block` strings."""
+    """row, s, e: spans covered by windows that occur earlier among the strings (key, part, common, d, row, a, mini, bytes) of one key, part and
+    common. Tasks read sorted strings and build the transform of whole groups, together about `block` strings; no group has more than HOT."""
 
     def make(batches):
         held: list[tuple] = []
 
         def flush() -> pa.RecordBatch | None:
-            found = repeated_windows([h[6] for h in held], [h[3:6] for h in held], window)
+            kept = [held[k] for k in partnered([h[7] for h in held], [h[6] for h in held], [h[:3] for h in held], window)]
             rows, s, e = [], [], []
-            for h, places in zip(held, found, strict=True):
-                for x, y in merged([(p, p + window) for p in places]):
-                    rows.append(h[4])
-                    s.append(h[5] + x)
-                    e.append(h[5] + y)
+            if kept:
+                for h, places in zip(kept, repeated_windows([h[7] for h in kept], [h[3:6] for h in kept], window), strict=True):
+                    for x, y in merged([(p, p + window) for p in places]):
+                        rows.append(h[4])
+                        s.append(h[5] + x)
+                        e.append(h[5] + y)
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rows, s, e)], names=["row", "s", "e"]) if rows else None
 
         for b in batches:
-            for r in zip(*[b.column(c).to_pylist() for c in ("key", "part", "common", "d", "row", "a", "bytes")], strict=True):
+            for r in zip(*[b.column(c).to_pylist() for c in ("key", "part", "common", "d", "row", "a", "mini", "bytes")], strict=True):
                 if len(held) >= block and held[-1][:3] != r[:3]:
                     if (out := flush()) is not None:
                         yield out
@@ -140,77 +225,73 @@ def collection_spans(strings: DataFrame, window: int, block: int = 1024) -> Data
 
 def collapse(found: DataFrame, same: list[str], window: int) -> tuple[DataFrame, DataFrame]:
     """Of strings that agree in `same`: (the first of each with its count c, spans of all others). found has d, row, a, n (windows)."""
-    first = written(found.groupBy(*same).agg(F.min(F.struct("d", "row", "a")).alias("first"), F.min("mini").alias("mini"), F.count("*").alias("c")), "firsts")
+    first = written(found.groupBy(*same).agg(F.min(F.struct("d", "row", "a")).alias("first"), F.count("*").alias("c")), "firsts")
     others = found.join(first.filter("c > 1").select(*same, "first"), same).filter((F.col("row") != F.col("first.row")) | (F.col("a") != F.col("first.a")))
     return first, others.select("row", F.col("a").alias("s"), (F.col("a") + F.col("n") + window - 1).alias("e"))
 
 
 def bytes_of(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """The strings of segments (key, n, row, a, mini, size: segments of the key), read from the texts.
+    """The strings of segments (key, n, row, a, mini, size), read from the texts, which stay where they are: the segments are put beside them.
 
-    A key with more than HOT segments is cut: windows with the minimizer in STRIDE neighbouring places stay together, with the bytes that
-    all of them contain as a further key, so only strings that are nearly equal stay in one group."""
-    lists = written(wanted.groupBy("row").agg(F.collect_list(F.struct("key", "n", "a", "mini", "size")).alias("of")), "wanted")
-    bits = docs.sparkSession.sparkContext.broadcast(bit_map(lists.select(F.xxhash64("row").alias("k")), "k"))
-    some = filtered(docs, bits, True).select("row", "d", "text").join(lists, "row")
+    Segments of a key with more than HOT of them are cut: windows with the minimizer in STRIDE neighbouring places stay together, with the
+    bytes that all of them contain as a further key, so only strings that are nearly equal stay in one group."""
+    at = beside(wanted.select("row", "key", "n", "a", "mini", "size"), "wanted")
     schema = "key long, part int, common long, d long, row long, a long, n int, mini int, bytes binary"
 
     def make(batches):
         import xxhash
 
-        for b in batches:
+        lists = Beside(at)
+        for b in sliced(batches):
             out: list[tuple] = []
-            for row, d, text, of in zip(*[b.column(c).to_pylist() for c in ("row", "d", "text", "of")], strict=True):
+            for row, d, text in zip(b.column("row").to_pylist(), b.column("d").to_pylist(), b.column("text").to_pylist(), strict=True):
+                of = lists.of(row)
+                if of is None:
+                    continue
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                for x in of:
-                    a, n, mini = x["a"], x["n"], x["mini"]
-                    if x["size"] <= HOT:
-                        out.append((x["key"], -1, 0, d, row, a, n, mini, raw[a : a + n + window - 1]))
+                for key, n, a, mini, size in zip(*[of[c].tolist() for c in ("key", "n", "a", "mini", "size")], strict=True):
+                    if size <= HOT:
+                        out.append((key, -1, 0, d, row, a, n, mini, raw[a : a + n + window - 1]))
                         continue
                     p = a + mini
                     for part in range((p - a - n + 1) // STRIDE, mini // STRIDE + 1):
                         lo, hi = max(a, p - part * STRIDE - STRIDE + 1), min(a + n - 1, p - part * STRIDE)
                         common = xxhash.xxh3_64_intdigest(raw[p - part * STRIDE : p - part * STRIDE - STRIDE + 1 + window])
-                        out.append((x["key"], part, common - (1 << 63), d, row, lo, hi - lo + 1, p - lo, raw[lo : hi + window]))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)], names=["key", "part", "common", "d", "row", "a", "n", "mini", "bytes"])
-
-    return written(some.mapInArrow(make, schema), "strings", "lz4")
+                        out.append((key, part, common - (1 << 63), d, row, lo, hi - lo + 1, p - lo, raw[lo : hi + window]))
+                if len(out) > 20_000:
+                    yield strings(out)
+                    out = []
+            if out:
+                yield strings(out)
 
+    def strings(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)], names=["key", "part", "common", "d", "row", "a", "n", "mini", "bytes"])
 
-def filtered(docs: DataFrame, bits, inside: bool) -> DataFrame:
-    """docs (with row) that may be in the map of xxhash64(row), or those that are not."""
-    from pyspark.sql import types as T
-
-    def make(batches):
-        for b in batches:
-            want = in_map(bits.value, b.column("_k").to_numpy())
-            yield b.filter(pa.array(want if inside else ~want))
-
-    keyed = docs.withColumn("_k", F.xxhash64("row"))
-    return keyed.mapInArrow(make, T.StructType(keyed.schema.fields)).drop("_k")
+    return written(docs.select("row", "d", "text").mapInArrow(make, schema), "strings", "lz4")
 
 
 def repeated_spans(docs: DataFrame, window: int = 100) -> DataFrame:
     """row, s, e: half-open spans of bytes whose union is what windows cover that start earlier too. docs: row, d, text."""
-    spark = docs.sparkSession
-    twice = segments(docs, window).groupBy("key").count().filter("count > 1")
-    bits = spark.sparkContext.broadcast(bit_map(twice, "key"))
-    first, copies = collapse(segments(docs, window, bits), ["key", "print", "n"], window)
-    sizes = first.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    wanted = first.join(sizes, "key").select("key", "n", F.col("first.row").alias("row"), F.col("first.a").alias("a"), "mini", "size")
-    strings = bytes_of(docs, wanted, window)
-    keys = ["key", "part", "common"]
-    cool = strings.filter("part < 0").select(*keys, "d", "row", "a", "bytes")
-    pieces = strings.filter("part >= 0").withColumn("print", F.sha2("bytes", 256))
+    found = told_apart(segments(docs, window), window)
+    copies = found.filter("kind = 0").select("row", "s", "e")
+    strings = bytes_of(docs, found.filter("kind = 1"), window)
+    keys, columns = ["key", "part", "common"], ["key", "part", "common", "d", "row", "a", "mini", "bytes"]
+    cool = strings.filter("part < 0").select(*columns)
+    pieces = strings.filter("part >= 0")
+    if pieces.isEmpty():
+        return copies.unionByName(collection_spans(cool, window))
+    pieces = pieces.withColumn("print", F.sha2("bytes", 256))
     kept, more = collapse(pieces.drop("bytes"), [*keys, "print", "n"], window)
-    single = kept.select(*keys, F.col("first.d").alias("d"), F.col("first.row").alias("row"), F.col("first.a").alias("a"))
-    hot = single.join(pieces.select(*keys, "row", "a", "bytes"), [*keys, "row", "a"]).select(*keys, "d", "row", "a", "bytes")
-    return copies.unionByName(more).unionByName(collection_spans(cool.unionByName(hot), window))
-
-
-def with_rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    groups = kept.groupBy(*keys).agg(F.count("*").alias("c")).filter("c > 1")
+    single = kept.join(groups.withColumnRenamed("c", "size"), keys).select(*keys, "size", F.col("first.row").alias("row"), F.col("first.a").alias("a"))
+    hot = written(single.join(pieces, [*keys, "row", "a"]), "pieces", "lz4")
+    # What is still too many is decided window by window, as strings that are equal or not.
+    each = hot.filter(F.col("size") > HOT).select("d", "row", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"), "a", "bytes")
+    each = each.select("d", "row", (F.col("a") + F.col("k")).alias("a"), F.lit(1).alias("n"), F.sha2(F.substring("bytes", F.col("k") + 1, F.lit(window)), 256).alias("print"))
+    _, rest = collapse(each, ["print"], window)
+    small = hot.filter(F.col("size") <= HOT).select(*columns)
+    return copies.unionByName(more).unionByName(rest).unionByName(collection_spans(cool.unionByName(small), window))
 
 
 def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
@@ -218,35 +299,32 @@ def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
 
     A byte goes if a window of `window` bytes covers it that also starts earlier: in a row of a smaller doc_id, or earlier in the row; rows
     of one id stand in the order of the table, and rows with a null id behind all others. Windows are judged on the input. A text
-    that is null or shorter than a window keeps its bytes. docs must give the same rows in the same order whenever it is read, as files do.
+    that is null or shorter than a window keeps its bytes. Texts are read three times and never shuffled; a table that is not read straight from
+    files is written first, so that its rows keep their numbers. An empty table gives no rows; other columns are ignored.
     """
     need(docs, "doc_id", "text")
-    small_batches(docs.sparkSession)
-    docs = with_rows(docs)
-    spans = repeated_spans(docs, window)
-    covers = written(spans.groupBy("row").agg(F.collect_list(F.struct("s", "e")).alias("of")), "spans")
-    bits = docs.sparkSession.sparkContext.broadcast(bit_map(covers.select(F.xxhash64("row").alias("k")), "k"))
-    slim = docs.select("row", "doc_id", "text")
-    some = filtered(slim, bits, True).join(covers, "row", "left")
-    others = filtered(slim, bits, False).withColumn("of", F.lit(None).cast(covers.schema["of"].dataType))
+    docs = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "row").withColumn("d", F.coalesce("doc_id", F.lit(LAST)))
+    at = beside(repeated_spans(docs, window), "spans")
     kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
 
     def make(batches):
-        for b in batches:
+        lists = Beside(at)
+        for b in sliced(batches):
             runs, kept = [], []
-            for text, of in zip(b.column("text").to_pylist(), b.column("of").to_pylist(), strict=True):
+            for row, text in zip(b.column("row").to_pylist(), b.column("text").to_pylist(), strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                gone = merged([(x["s"], x["e"]) for x in of or ()])
-                at, rest = 0, []
+                of = lists.of(row)
+                gone = joined(of["s"], of["e"]) if of is not None else []
+                last, rest = 0, []
                 for s, e in gone:
-                    rest.append(raw[at:s])
-                    at = e
+                    rest.append(raw[last:s])
+                    last = e
                 runs.append([{"s": s, "e": e} for s, e in gone])
-                kept.append(b"".join([*rest, raw[at:]]))
+                kept.append(b"".join([*rest, raw[last:]]))
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(runs, kind), pa.array(kept, pa.binary())], names=["row", "doc_id", "spans", "kept"])
 
     schema = "row long, doc_id long, spans array<struct<s: long, e: long>>, kept binary"
-    return some.mapInArrow(make, schema).unionByName(others.mapInArrow(make, schema))
+    return docs.select("row", "doc_id", "text").mapInArrow(make, schema)
 
 
 def digest(deduped: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def test_equal_windows_have_equal_minimizers():
     part = bytes(r.choice(b"abcd") for _ in range(500))
     docs = [b"x" * 37 + part, part + b"yy", part[100:300], b"", b"z" * 99]
     cut = Segmenter(100, 32)
-    first, n, mini, h = cut(np.frombuffer(b"".join(docs), "u1"), np.cumsum([len(d) for d in docs]))
+    first, n, mini, h, _ = cut(np.frombuffer(b"".join(docs), "u1"), np.cumsum([len(d) for d in docs]))
     data, at = b"".join(docs), {}
     for f, c, m, x in zip(first.tolist(), n.tolist(), mini.tolist(), h.tolist(), strict=True):
         for k in range(f, f + c):
