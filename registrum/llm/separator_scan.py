@@ -9,29 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, filesystem, need, scratch, small_batches
-from .encoding import encoder
+from .common import cut, filesystem, need, scratch
+from .encoding import encoder, together
 
 
 def write_flat(docs: DataFrame, root: str, tokenizer: str, *, pattern: str, separator: int, width: int = 2) -> DataFrame:
     """One file of ids per task, each document followed by the separator, in the order of the rows, without a header or an index.
     Returns file, place (of the document in its file), doc_id. A null text is an empty document. A file gets its name when it is whole."""
     need(docs, "doc_id", "text")
-    small_batches(docs.sparkSession)
     fs, at = filesystem(root)
     fs.create_dir(at)
-    end = int(separator).to_bytes(width, "little")
+    end = np.array([separator], f"<u{width}")
 
     def write(batches):
         fs, at = filesystem(root)
         encode, task = encoder("ranked", tokenizer, width, pattern=pattern), TaskContext.get()
         name, n, out = f"{task.partitionId():06d}.ids", 0, None
         part = f"{at}/.part-{task.partitionId():06d}-{task.taskAttemptId()}"
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in together(batches):
             out = out or fs.open_output_stream(part, buffer_size=1 << 20)
-            out.write(b"".join(y for x in encode(b.column("text").to_pylist()) for y in (x, end)))
+            ids = encode(b.column("text").to_pylist())
+            if any((x == end).any() for x in ids):
+                raise ValueError(f"a text has the separator {separator}")
+            out.write(np.concatenate([y for x in ids for y in (x, end)]))
             yield pa.RecordBatch.from_arrays([pa.array([name] * b.num_rows), pa.array(np.arange(n, n + b.num_rows)), b.column("doc_id")], names=["file", "place", "doc_id"])
             n += b.num_rows
         if out is not None:

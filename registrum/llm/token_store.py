@@ -10,8 +10,10 @@ offset of the index (u64), "TKZ1". One document is read with the trailer, the in
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,31 +22,34 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, filesystem, need, scratch, small_batches
-from .encoding import encoder
+from .common import cut, drop, filesystem, need, scratch, small_batches, written
+from .encoding import encoder, together
 
 MAGIC = b"TKZ1"
 SLICE = 8 << 20
 
 
-def train_dictionary(docs: DataFrame, path: str, width: int, end_id: int, *, documents: int = 2000, chars: int = 6000, size: int = 64 << 10) -> bytes:
-    """A dictionary from a bounded sample: about `documents` documents that a hash of the id picks over the whole table, of each
-    the first `chars` characters. It changes the size of the files only: every text is stored whole."""
+def train_dictionary(docs: DataFrame, path: str, width: int, end_id: int, *, documents: int = 2000, chars: int = 8 << 20, size: int = 64 << 10) -> bytes:
+    """A dictionary from a bounded sample of whole documents: those of the least hashes, `documents` at most, in that order as long as they
+    fit into `chars` characters together. It changes the size of the files only: every text is stored whole."""
     import zstandard
 
-    total = docs.count()
-    if not total:
-        return b""
-    bar = int(min(1.0, documents / total) * (1 << 31))
-    picked = docs.filter(F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < bar)).select("doc_id", F.substring("text", 1, chars).alias("text")).limit(2 * documents).collect()
-    texts = [r.text for r in sorted(picked, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.text))]
-    end = int(end_id).to_bytes(width, "little")
-    ids = [x + end for x in encoder("tokenizers", path, width)(texts)]
-    if not ids:
+    h = F.xxhash64("doc_id", "text")
+    texts = docs.filter("text <> ''").select("doc_id", "text", h.alias("h"), F.length("text").alias("n"))
+    bar, room = None, chars
+    for r in texts.select("h", "n").orderBy("h").limit(documents).collect():
+        room -= r.n
+        if room < 0:
+            break
+        bar = r.h
+    if bar is None:
         return b""
+    picked = texts.filter(F.col("h") <= bar).orderBy("h").limit(documents).select("text").collect()
+    end = np.array([end_id], f"<u{width}").tobytes()
+    ids = [x.tobytes() + end for x in encoder("tokenizers", path, width)([r.text for r in picked])]
     try:
         return zstandard.train_dictionary(min(size, sum(map(len, ids)) // 8 + 512), ids).as_bytes()
-    except zstandard.ZstdError:  # too few documents to train on: their ids as they are
+    except zstandard.ZstdError:  # too few documents to train on: the ids of the last of them, as raw content
         return b"".join(ids)[-size:]
 
 
@@ -55,28 +60,27 @@ def _dictionary(raw: bytes):
 
 
 class Writer:
-    def __init__(self, out, raw: bytes, width: int, level: int = 3):
-        import zstandard
+    """One file, of frames made elsewhere."""
 
-        self.out, self.width, d = out, width, _dictionary(raw)
-        self.compress = (zstandard.ZstdCompressor(level=level, dict_data=d) if d else zstandard.ZstdCompressor(level=level)).compress
-        self.doc_ids, self.nulls, self.starts, self.offsets = [], [], [0], []
+    def __init__(self, out, raw: bytes, width: int):
+        self.out = out
+        self.doc_ids, self.nulls, self.starts, self.offsets = array("q"), bytearray(), array("Q", [0]), array("Q")
         head = MAGIC + hashlib.sha256(raw).digest() + struct.pack("<I", width)
         out.write(head)
         self.at = len(head)
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        frame = self.compress(ids)
+    def add(self, doc_id: int | None, n: int, frame: bytes) -> None:
         self.doc_ids.append(doc_id or 0)
         self.nulls.append(doc_id is None)
-        self.starts.append(self.starts[-1] + len(ids) // self.width)
+        self.starts.append(self.starts[-1] + n)
         self.offsets.append(self.at)
         self.out.write(frame)
         self.at += len(frame)
 
     def close(self) -> None:
-        self.out.write(np.array(self.doc_ids, "<i8").tobytes() + np.array(self.nulls, "u1").tobytes() + np.array(self.starts, "<u8").tobytes() + np.array([*self.offsets, self.at], "<u8").tobytes())
+        self.out.write(np.array(self.doc_ids, "<i8").tobytes() + bytes(self.nulls) + np.array(self.starts, "<u8").tobytes() + np.array([*self.offsets, self.at], "<u8").tobytes())
         self.out.write(struct.pack("<QQ", len(self.doc_ids), self.at) + MAGIC)
+        self.out.close()
 
 
 class Reader:
@@ -123,44 +127,72 @@ class Reader:
         return out
 
 
-def write_store(docs: DataFrame, root: str, tokenizer: str, *, end_id: int = 2, width: int = 2) -> list[tuple[str, int, int]]:
-    """Writes the files of docs (doc_id, text). Returns (path, documents, ids) per file, in the order of ids.
+def frames(docs: DataFrame, tokenizer: str, raw: bytes, *, end_id: int, width: int, level: int = 3) -> DataFrame:
+    """doc_id, n (ids with the end id), frame (the compressed ids) of each row of docs, in tasks of the table's own parts."""
+    end = np.array([end_id], f"<u{width}")
+
+    def make(batches):
+        import zstandard
+
+        d, encode = _dictionary(raw), encoder("tokenizers", tokenizer, width)
+        compress = (zstandard.ZstdCompressor(level=level, dict_data=d) if d else zstandard.ZstdCompressor(level=level)).compress
+        for held in together(batches):
+            ids = [np.concatenate([x, end]) for x in encode(held.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([held.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([compress(x.tobytes()) for x in ids], pa.binary())], names=["doc_id", "n", "frame"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(make, "doc_id long, n long, frame binary")
 
-    Documents are dealt by ranges of doc_id and sorted within them; a task encodes, compresses and writes as it reads and holds
-    the index of its file only. A file appears under its name when whole, so a task that runs again is harmless.
-    A null text is stored as an empty one, which still has its end id. Rows of one id are all kept.
+
+def write_store(docs: DataFrame, root: str, tokenizer: str, *, end_id: int = 2, width: int = 2, file_bytes: int = 256 << 20, file_docs: int = 1 << 20) -> list[tuple[str, int, int]]:
+    """Writes the files of docs (doc_id, text). Returns (path, documents, ids) per file, in the order of ids; the same list is in root/manifest.
+
+    Documents are encoded and compressed where they are read; the frames, not the texts, are dealt by ranges of doc_id, where rows of one id
+    or without an id may be many ranges, and sorted. A task writes files of file_bytes bytes and file_docs documents at most, one
+    document apart, so no index grows with the table. Files of a task that failed are in no manifest. A null text is stored as an
+    empty one, which still has its end id. Rows of one id are all kept.
     """
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
-    small_batches(spark)
     raw = train_dictionary(docs, tokenizer, width, end_id)
     fs, at = filesystem(root)
     fs.create_dir(at)
     with fs.open_output_stream(f"{at}/dictionary") as f:
         f.write(raw)
-    end = int(end_id).to_bytes(width, "little")
+    kept = scratch(spark, "frames")
+    made = written(frames(docs, tokenizer, raw, end_id=end_id, width=width), "frames", "none", kept)
 
     def write(batches):
         fs, at = filesystem(root)
-        encode, task = encoder("tokenizers", tokenizer, width), TaskContext.get()
-        name, w = f"{at}/ids-{task.partitionId():06d}", None
-        part = f"{at}/.part-{task.partitionId():06d}-{task.taskAttemptId()}"
+        task, w, done = TaskContext.get(), None, []
+
+        def close():
+            w.close()
+            done.append((task.partitionId(), len(done), name, len(w.doc_ids), w.starts[-1]))
+
         for b in batches:
-            ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-            for doc_id, x in zip(ids, encode(texts), strict=True):
+            for doc_id, n, frame in zip(*[b.column(c).to_pylist() for c in ("doc_id", "n", "frame")], strict=True):
+                if w is not None and (w.at >= file_bytes or len(w.doc_ids) >= file_docs):
+                    close()
+                    w = None
                 if w is None:
-                    w = Writer(fs.open_output_stream(part, buffer_size=1 << 20), raw, width)
-                w.add(doc_id, x + end)
+                    name = f"ids-{task.partitionId():06d}-{len(done):04d}-{task.taskAttemptId()}"
+                    w = Writer(fs.open_output_stream(f"{at}/{name}", buffer_size=1 << 20), raw, width)
+                w.add(doc_id, n, frame)
         if w is not None:
-            w.close()
-            w.out.close()
-            fs.move(part, name)
-            yield pa.RecordBatch.from_pydict({"part": [task.partitionId()], "name": [name.rsplit("/", 1)[1]], "documents": [len(w.doc_ids)], "ids": [w.starts[-1]]}, schema=pa.schema([("part", pa.int32()), ("name", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())]))
+            close()
+        if done:
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done, strict=True), kinds, strict=True)], names=["part", "k", "name", "documents", "ids"])
 
     order = F.col("doc_id").asc_nulls_last()
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(order).sortWithinPartitions(order)
-    done = dealt.mapInArrow(write, "part int, name string, documents long, ids long").collect()
-    return [(f"{root}/{r.name}", r.documents, r.ids) for r in sorted(done, key=lambda r: r.part)]
+    dealt = made.repartitionByRange(order, F.xxhash64("frame")).sortWithinPartitions(order, "frame")
+    with small_batches(spark):
+        done = dealt.mapInArrow(write, "part int, k int, name string, documents long, ids long").collect()
+    drop(spark, kept)
+    files = [(f"{root}/{r.name}", r.documents, r.ids) for r in sorted(done, key=lambda r: (r.part, r.k))]
+    with fs.open_output_stream(f"{at}/manifest") as f:
+        f.write(json.dumps([{"file": p.rsplit("/", 1)[1], "documents": d, "ids": n} for p, d, n in files]).encode())
+    return files
 
 
 def read_store(spark: SparkSession, root: str, files: list[tuple[str, int, int]]) -> DataFrame:
