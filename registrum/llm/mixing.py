@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,10 +12,14 @@ from .common import cut, free_name, need, word_count
 
 #: Tables with a row per source are broadcast up to so many sources; beyond, Spark joins them as it joins any table.
 SOURCES = 100_000
+#: Rows of a source that are put in order in one task, and the parts into which the place of a target's end is looked for until no more are left.
+HELD, PARTS = 4096, 64
 
 #: Steps of the uniform number, which has 48 bits.
 STEPS = float(1 << 48)
 
+Odds = Callable[[Column], Column]
+
 
 def uniform(doc_id: Column, seed: str) -> Column:
     """A number in (0, 1) that the seed and the id fix; rows of one id share it."""
@@ -21,6 +27,11 @@ def uniform(doc_id: Column, seed: str) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long").cast("double") + 0.5) / STEPS
 
 
+def by_length(size: Column) -> Column:
+    """Odds that prefer long documents: 3 from 1000 words on, 2 from 100 on, else 1."""
+    return F.when(size >= 1000, 3).when(size >= 100, 2).otherwise(1)
+
+
 def allocate(totals: DataFrame, weights: tuple[int, ...], share: tuple[int, int], copies: int) -> DataFrame:
     """Targets by source. totals: source, source_size (one row per source).
 
@@ -43,89 +54,149 @@ def allocate(totals: DataFrame, weights: tuple[int, ...], share: tuple[int, int]
     return t.select("source", "source_size", F.least(F.coalesce(filled, F.col("cap").cast("double")), F.col("cap").cast("double")).alias("target"))
 
 
-def pareto_mix(
-    docs: DataFrame,
-    *,
-    weights: tuple[int, ...] = (3, 1, 2),
-    share: tuple[int, int] = (3, 2),
-    copies: int = 2,
-    seed: str = "mix",
-    weight_col: str | None = None,
-    buckets: int = 1024,
-) -> DataFrame:
-    """One row per document with what the mix takes of it.
-
-    A document's expected copies are target / source_size times its weight in weight_col (null or
-    no column: 1; below 0 counts as 0), at most `copies`. Whole copies are certain. The rest, pi, is an inclusion
-    probability: documents are ranked by u / (1 - u) / (pi / (1 - pi)), u uniform and fixed by the
-    id, and taken in that order until the source's target is full, so the size of the sample in
-    words is fixed; the last one is taken in part. Returns doc_id, source, size, source_size,
-    target, whole (certain copies), pi, score (the rank's variable), taken.
-
-    Only the bucket of the score in which a target fills up is ordered; the sums of the buckets
-    before it come from one aggregate with partial sums, so a hot source is never sorted
-    in one task, and rows are not dealt by source unless there are more than SOURCES of them.
+def ranked(m: Column, u: Column, level: Column, copies: int) -> tuple[Column, Column, Column]:
+    """(certain copies, inclusion probability of one more, ranking variable) of a document of odds m."""
+    expected = F.least(F.lit(float(copies)), m * level)
+    whole = F.floor(expected).cast("long")
+    pi = expected - whole
+    return whole, pi, F.when(pi > 0, u / (1 - u) / (pi / (1 - pi)))
+
+
+def taken(plan: Callable[[str], Column], doc_id: Column, size: Column, whole: Column, pi: Column, score: Column) -> Column:
+    """Words that the mix takes of a document, by the row of its source in the plan."""
+    budget, last_score, last_id = plan("budget"), plan("last_score"), plan("last_id")
+    later_id = F.when(last_id.isNull(), F.lit(False)).otherwise(doc_id.isNull() | (doc_id > last_id))
+    more = (
+        F.when((pi <= 0) | (budget <= 0), 0)
+        .when(last_score.isNull() | (score < last_score), size)
+        .when(score > last_score, 0)
+        .when(doc_id.eqNullSafe(last_id), F.least(plan("last_words"), size))
+        .when(later_id, 0)
+        .otherwise(size)
+    )
+    return (whole * size + more).cast("long")
+
+
+class Mix:
+    """What a mix takes of each document: a plan with a row per source, after which each row is decided on its own."""
+
+    def __init__(self, docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: tuple[int, int] = (3, 2), copies: int = 2, seed: str = "mix", weight_col: str | None = None, odds: Odds | None = None):
+        need(docs, "doc_id", "text", "source")
+        self.copies, self.seed, self.weight_col, self.odds = copies, seed, weight_col, odds
+        ident, source, size, m, u = self.measures(docs)
+        self.rows = cut(docs.select(ident.alias("doc_id"), source.alias("source"), size.alias("size"), m.alias("m"), u.alias("u")))
+        totals = self.rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("m")).alias("weighed"))
+        targets = allocate(totals.select("source", "source_size"), weights, share, copies)
+        level = F.when(F.col("weighed") > 0, F.col("target") / F.col("weighed")).otherwise(0.0)
+        plan = targets.join(totals.select(F.col("source").alias("s"), "weighed"), F.col("source").eqNullSafe(F.col("s")))
+        self.plan = cut(plan.select("source", "source_size", "target", level.alias("level"), F.lit(None).cast("double").alias("capped")))
+        self.few = self.plan.count() <= SOURCES
+        if weight_col or odds:
+            self._levels()
+        self._budgets()
+
+    def measures(self, docs: DataFrame) -> tuple[Column, Column, Column, Column, Column]:
+        """doc_id, source, size, odds and uniform number of a row of docs."""
+        size = word_count(docs["text"])
+        m = F.lit(1)
+        if self.weight_col:
+            m = F.greatest(F.coalesce(docs[self.weight_col].cast("double"), F.lit(1.0)), F.lit(0.0))
+        elif self.odds:
+            m = self.odds(size)
+        return docs["doc_id"], docs["source"], size, m, uniform(docs["doc_id"], self.seed)
+
+    def joined(self, rows: DataFrame, plan: DataFrame) -> DataFrame:
+        """rows with the columns of plan, which has a row per source."""
+        plan = plan.withColumnRenamed("source", "s")
+        return rows.join(F.broadcast(plan) if self.few else plan, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+
+    def _levels(self) -> None:
+        """Raises a source's level where documents of high odds reach the most copies, so that the others make up for them. Each round
+        settles at least one more value of the odds."""
+        full = F.col("m") * F.col("level") >= self.copies
+        while True:
+            now = self.joined(self.rows, self.plan.select("source", "level")).groupBy("source").agg(F.sum(F.when(full, F.col("size")).otherwise(0)).cast("double").alias("now_capped"), F.sum(F.when(full, 0).otherwise(F.col("size") * F.col("m"))).alias("open"))
+            level = F.when(F.col("open") > 0, (F.col("target") - self.copies * F.col("now_capped")) / F.col("open")).otherwise(F.col("level"))
+            new = cut(self.joined(self.plan, now).select("source", "source_size", "target", level.alias("level"), F.col("now_capped").alias("capped"), (~F.col("capped").eqNullSafe(F.col("now_capped"))).alias("moved")))
+            self.plan = new.drop("moved")
+            if new.filter("moved").isEmpty():
+                return
+
+    def _budgets(self) -> None:
+        """Finds where each source's target fills up: bucket by bucket of the ranking variable, and again within the bucket in which it does until
+        that has few rows, which are put in order. So no source is sorted in one task, however many documents it has."""
+        whole, pi, score = ranked(F.col("m"), F.col("u"), F.col("level"), self.copies)
+        part = F.col("level") - F.floor("level")
+        # About uniform in (0, 1) within a source: the score times the odds at the source's level gives back the uniform number's.
+        even = F.col("score") * F.when(part > 0, part / (1 - part)).otherwise(1.0)
+        r = self.joined(self.rows, self.plan.select("source", "level")).withColumns({"whole": whole, "pi": pi, "score": score})
+        r = r.withColumn("v", F.least(F.nanvl(even / (1 + even), F.lit(1.0)), F.lit(1 - 1e-15))).drop("level")
+        certain = r.groupBy("source").agg(F.sum(F.col("size") * F.col("whole")).alias("certain"))
+        budget = F.floor("target") - F.col("certain")
+        self.plan = cut(self.joined(self.plan.drop("capped"), certain).withColumn("budget", budget).drop("certain"))
+        slim = r.filter("pi > 0").select("source", "doc_id", "size", "score", "v")
+        edge = self.plan.select("source", F.lit(0.0).alias("low"), F.lit(1.0).alias("high"), F.col("budget").alias("left"))
+        while True:
+            inside = self.joined(slim, edge).filter("v >= low and v < high")
+            k = F.least(F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * PARTS), F.lit(PARTS - 1)).cast("int")
+            sums = inside.groupBy("source", "low", "high", "left", k.alias("k")).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+            before = F.coalesce(F.sum("words").over(W.partitionBy("source").orderBy("k").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+            step = (F.col("high") - F.col("low")) / PARTS
+            found = sums.withColumn("before", before).filter("before < left and before + words >= left")
+            edge = cut(found.select("source", (F.col("low") + F.col("k") * step).alias("low"), F.when(F.col("k") == PARTS - 1, F.col("high")).otherwise(F.col("low") + (F.col("k") + 1) * step).alias("high"), (F.col("left") - F.col("before")).alias("left"), "n"))
+            most = edge.agg(F.max("n"), F.min(F.col("high") - F.col("low"))).first()
+            edge = edge.drop("n")
+            if not most[0] or most[0] <= HELD or most[1] < 1e-12:
+                break
+        near = self.joined(slim, edge).filter("v >= low and v < high")
+        near = near.groupBy("source", "left", "score", "doc_id").agg(F.sum("size").alias("words"), F.count("*").alias("same"))
+        run = W.partitionBy("source").orderBy("score", F.col("doc_id").isNull(), "doc_id")
+        near = near.withColumn("upto", F.sum("words").over(run)).filter("upto >= left and upto - words < left")
+        last = near.select(F.col("source").alias("l"), F.col("score").alias("last_score"), F.col("doc_id").alias("last_id"), F.expr("(left - (upto - words)) div same").alias("last_words"))
+        self.plan = cut(self.plan.join(last, F.col("source").eqNullSafe(F.col("l")), "left").drop("l"))
+
+
+def pareto_mix(docs: DataFrame, **options) -> DataFrame:
+    """One row per document with what the mix takes of it. Options: those of Mix.
+
+    A document's expected copies are its odds times its source's level, at most `copies`; the level is such that they come to the source's
+    target. Odds are those of weight_col (null: 1; below 0 counts as 0), or a function of the size, or all 1. Whole copies are
+    certain. The rest, pi, is an inclusion probability: documents are ranked by u / (1 - u) / (pi / (1 - pi)), u uniform and
+    fixed by the id, and taken in that order until the source's target is full, so the size of the sample in words is fixed; the
+    last one is taken in part. Returns doc_id, source, size, source_size, target, whole (certain copies), pi, score (the ranking
+    variable), taken.
 
     A null text has size 0, a null source is a source of its own, a null id is ranked as an empty one. Rows of
     one id and score share what is left of the target evenly. An empty table gives no rows.
     Other columns are ignored, whatever their names.
     """
-    need(docs, "doc_id", "text", "source")
-    m = F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)), F.lit(0.0)) if weight_col else F.lit(1.0)
-    rows = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), m.alias("m"), uniform(F.col("doc_id"), seed).alias("u")))
-    totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("m")).alias("weighed"))
-    plan = allocate(totals.select("source", "source_size"), weights, share, copies).join(totals.select(F.col("source").alias("s"), "weighed"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    plan = cut(plan.withColumn("mean", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)))
-    light = F.broadcast if plan.count() <= SOURCES else (lambda table: table)
-
-    expected = F.when(F.col("weighed") > 0, F.least(F.lit(float(copies)), F.col("m") * F.col("target") / F.col("weighed"))).otherwise(0.0)
-    r = rows.join(light(plan.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    r = r.withColumn("expected", expected).withColumn("whole", F.floor("expected").cast("long")).withColumn("pi", F.col("expected") - F.col("whole"))
-    r = r.withColumn("score", F.when(F.col("pi") > 0, F.col("u") / (1 - F.col("u")) / (F.col("pi") / (1 - F.col("pi")))))
-    # The bucket is about uniform in the source: the score over the odds at the source's mean gives u back.
-    part = F.col("mean") - F.floor("mean")
-    odds = F.col("score") * F.when(part > 0, part / (1 - part)).otherwise(1.0)
-    r = r.withColumn("bucket", F.when(F.col("pi") > 0, F.least(F.floor(odds / (1 + odds) * buckets), F.lit(buckets - 1)).cast("int")).otherwise(-1))
-
-    sums = r.groupBy("source", "target", "bucket").agg(F.sum("size").alias("words"), F.sum(F.col("size") * F.col("whole")).alias("certain"))
-    by_source = W.partitionBy("source")
-    sums = sums.withColumn("budget", F.floor("target") - F.sum("certain").over(by_source))
-    before = F.coalesce(F.sum(F.when(F.col("bucket") >= 0, F.col("words")).otherwise(0)).over(by_source.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    sums = sums.withColumn("before", before)
-    # The bucket in which the budget runs out; none where all fits.
-    edge = cut(sums.filter("bucket >= 0 and before < budget and before + words >= budget").select(F.col("source").alias("s"), F.col("bucket").alias("edge"), (F.col("budget") - F.col("before")).alias("left")))
-    full = sums.groupBy(F.col("source").alias("f")).agg(F.max("budget").alias("budget"))
-
-    near = r.join(light(edge), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("edge")))
-    near = near.groupBy("source", "left", "bucket", "score", "doc_id").agg(F.sum("size").alias("words"), F.count("*").alias("same"))
-    run = W.partitionBy("source").orderBy("score", F.col("doc_id").isNull(), "doc_id")
-    near = near.withColumn("upto", F.sum("words").over(run))
-    last = near.filter("upto >= left and upto - words < left").select(F.col("source").alias("l"), F.col("score").alias("last_score"), F.col("doc_id").alias("last_id"), F.expr("(left - (upto - words)) div same").alias("last_words"))
-    stop = cut(full.join(last, F.col("f").eqNullSafe(F.col("l")), "left").drop("l"))
-
-    out = r.join(light(stop), F.col("source").eqNullSafe(F.col("f")))
-    later_id = F.when(F.col("last_id").isNull(), F.lit(False)).otherwise(F.col("doc_id").isNull() | (F.col("doc_id") > F.col("last_id")))
-    more = (
-        F.when((F.col("pi") <= 0) | (F.col("budget") <= 0), 0)
-        .when(F.col("last_score").isNull() | (F.col("score") < F.col("last_score")), F.col("size"))
-        .when(F.col("score") > F.col("last_score"), 0)
-        .when(F.col("doc_id").eqNullSafe(F.col("last_id")), F.least(F.col("last_words"), F.col("size")))
-        .when(later_id, 0)
-        .otherwise(F.col("size"))
-    )
-    return out.select("doc_id", "source", "size", "source_size", "target", "whole", "pi", "score", (F.col("whole") * F.col("size") + more).cast("long").alias("taken"))
+    mix = Mix(docs, **options)
+    whole, pi, score = ranked(F.col("m"), F.col("u"), F.col("level"), mix.copies)
+    out = mix.joined(mix.rows, mix.plan).withColumns({"whole": whole, "pi": pi, "score": score})
+    words = taken(F.col, F.col("doc_id"), F.col("size"), F.col("whole"), F.col("pi"), F.col("score"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "whole", "pi", "score", words.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents as the mix takes them: a row per copy, with the columns of docs.
 
-    Copies are whole: a document in which a target fills up is taken once more if at least half of it fits.
-    The decisions are joined to the documents by id; rows of a repeated id all follow the decision of the
-    one that takes most.
+    Copies are whole: a document in which a target fills up is taken once more if at least half of it fits. A document without words is taken as
+    often as its source's target holds its source's words. Each row is decided by itself with the row of its source in the plan, so no
+    text is shuffled and rows of a repeated or a null id need no other row.
     """
-    mix = pareto_mix(docs, **options)
-    times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(F.floor(F.col("target") / F.greatest(F.col("source_size"), F.lit(1)))).cast("int")
-    ident, count, copy = (free_name(docs, n) for n in ("_mix_id", "_mix_times", "_mix_copy"))
-    mix = mix.groupBy(F.col("doc_id").alias(ident)).agg(F.max(times).alias(count)).filter(F.col(count) > 0)
-    kept = docs.join(mix, F.col("doc_id").eqNullSafe(F.col(ident)))
-    return kept.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(count)))).select(*docs.columns)
+    mix = Mix(docs, **options)
+    own, plan, copy = (free_name(docs, n) for n in ("_mix_row", "_mix_plan", "_mix_copy"))
+    ident, source, size, m, u = mix.measures(docs)
+    rows = docs.withColumn(own, F.struct(size.alias("size"), m.alias("m"), u.alias("u")))
+    sources = mix.plan.select(F.struct("*").alias(plan))
+    rows = rows.join(F.broadcast(sources) if mix.few else sources, F.col("source").eqNullSafe(F.col(f"{plan}.source")))
+
+    def of(name: str) -> Column:
+        return F.col(f"{plan}.{name}")
+
+    size = F.col(f"{own}.size")
+    whole, pi, score = ranked(F.col(f"{own}.m"), F.col(f"{own}.u"), of("level"), mix.copies)
+    words = taken(of, F.col("doc_id"), size, whole, pi, score)
+    times = F.when(size > 0, F.round(words / size)).otherwise(F.floor(of("target") / F.greatest(of("source_size"), F.lit(1)))).cast("int")
+    rows = rows.withColumn(copy, times).filter(F.col(copy) > 0)
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy)))).select(*docs.columns)

@@ -16,9 +16,19 @@ l AS (SELECT *, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE
 h AS (SELECT rest, open_weight FROM l WHERE rest / open_weight <= CAST(cap AS DOUBLE) / weight ORDER BY k LIMIT 1),
 g AS (SELECT l.source, l.source_size, l.rn,
              least(coalesce(l.weight * (SELECT rest FROM h) / (SELECT open_weight FROM h), CAST(l.cap AS DOUBLE)), CAST(l.cap AS DOUBLE)) AS target FROM l),
-e AS (SELECT w.doc_id, w.size, w.u, g.rn, g.source_size, g.target,
-             CASE WHEN g.source_size > 0 THEN least(2.0::DOUBLE, g.target / g.source_size) ELSE 0.0::DOUBLE END AS expected
+o AS (SELECT w.doc_id, w.size, w.u, g.rn, g.source_size, g.target, CASE WHEN w.size >= 1000 THEN 3 WHEN w.size >= 100 THEN 2 ELSE 1 END AS m
       FROM w JOIN g ON w.source IS NOT DISTINCT FROM g.source),
+v0 AS (SELECT rn, any_value(target) AS target, CASE WHEN sum(size * m) > 0 THEN any_value(target) / CAST(sum(size * m) AS DOUBLE) ELSE 0.0::DOUBLE END AS level FROM o GROUP BY rn),
+v1 AS (SELECT v0.rn, v0.target, CASE WHEN sum(CASE WHEN m * level < 2 THEN size * m ELSE 0 END) > 0
+          THEN (v0.target - 2 * CAST(sum(CASE WHEN m * level >= 2 THEN size ELSE 0 END) AS DOUBLE)) / CAST(sum(CASE WHEN m * level < 2 THEN size * m ELSE 0 END) AS DOUBLE) ELSE level END AS level
+       FROM v0 JOIN o ON o.rn = v0.rn GROUP BY v0.rn, v0.target, level),
+v2 AS (SELECT v1.rn, v1.target, CASE WHEN sum(CASE WHEN m * level < 2 THEN size * m ELSE 0 END) > 0
+          THEN (v1.target - 2 * CAST(sum(CASE WHEN m * level >= 2 THEN size ELSE 0 END) AS DOUBLE)) / CAST(sum(CASE WHEN m * level < 2 THEN size * m ELSE 0 END) AS DOUBLE) ELSE level END AS level
+       FROM v1 JOIN o ON o.rn = v1.rn GROUP BY v1.rn, v1.target, level),
+v3 AS (SELECT v2.rn, v2.target, CASE WHEN sum(CASE WHEN m * level < 2 THEN size * m ELSE 0 END) > 0
+          THEN (v2.target - 2 * CAST(sum(CASE WHEN m * level >= 2 THEN size ELSE 0 END) AS DOUBLE)) / CAST(sum(CASE WHEN m * level < 2 THEN size * m ELSE 0 END) AS DOUBLE) ELSE level END AS level
+       FROM v2 JOIN o ON o.rn = v2.rn GROUP BY v2.rn, v2.target, level),
+e AS (SELECT o.doc_id, o.size, o.u, o.rn, o.source_size, o.target, least(2.0::DOUBLE, o.m * v3.level) AS expected FROM o JOIN v3 ON v3.rn = o.rn),
 p AS (SELECT *, CAST(floor(expected) AS BIGINT) AS whole, expected - floor(expected) AS pi FROM e),
 q AS (SELECT *, CASE WHEN pi > 0 THEN u / (1 - u) / (pi / (1 - pi)) END AS score,
              CAST(floor(target) AS BIGINT) - CAST(sum(whole * size) OVER (PARTITION BY rn) AS BIGINT) AS budget FROM p),

@@ -12,7 +12,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.pareto_mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.pareto_mix(documents(spark, sf_dir), odds=mixing.by_length).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_tiered_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
