@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import math
+import os
 from dataclasses import asdict, dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch, union_all
+from .common import free_name, scratch, union_all
 
 MB = 1 << 20
 
@@ -29,11 +31,15 @@ class ShardStore:
     """A table of Parquet shards under root, which may be in any file system that Spark reaches.
 
     append() writes a batch as small shards; compact() merges runs of shards of one size tier; each
-    ends in commit(), which creates the manifest of the next version under its final name only if
-    that name is free. Readers see the shards of one manifest, whole. Files of unfinished writes
+    ends in commit(), which gives the manifest of the next version its name only if no other writer has; who comes
+    second puts the change on top of the new version and tries again. Readers see the shards of one manifest,
+    whole, and versions stay readable until expire() drops them. Files of unfinished writes
     are in no manifest. Memory on the driver is a short record per shard, never per row.
     """
 
+    #: Times that a writer tries to come first.
+    TRIES = 20
+
     def __init__(self, spark: SparkSession, root: str, *, target_bytes: int = 64 * MB, base_bytes: int = MB, fanout: int = 4, rows_per_shard: int = 8192, merges_per_job: int = 48):
         self.spark, self.root = spark, root.rstrip("/")
         self.target_bytes, self.base_bytes, self.fanout, self.rows_per_shard, self.merges_per_job = target_bytes, base_bytes, fanout, rows_per_shard, merges_per_job
@@ -70,7 +76,8 @@ class ShardStore:
         return [Shard(**x) for x in json.loads(text)["shards"]]
 
     def commit(self, shards: list[Shard], onto: int) -> int:
-        """Makes shards the version after onto. The file is written whole under another name and renamed, which takes a free name only."""
+        """Makes shards the version after onto. The file is written whole under another name and then linked or renamed to its own, a step that
+        fails if there is such a file: a hard link on local disks, a rename without overwriting elsewhere."""
         new = onto + 1
         last, part = self._path(f"{self.root}/manifest/v{new:08d}"), self._path(scratch(self.spark, "manifest").rsplit("/", 1)[1])
         part = self._path(f"{self.root}/manifest/.{part.getName()}")
@@ -79,19 +86,54 @@ class ShardStore:
             out.write(bytearray(json.dumps({"version": new, "shards": [asdict(s) for s in shards]}).encode()))
         finally:
             out.close()
-        if self._fs.exists(last) or not self._fs.rename(part, last):
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                os.link(part.toUri().getPath(), last.toUri().getPath())
+            else:
+                context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+                context.rename(self._fs.makeQualified(part), self._fs.makeQualified(last), self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        except FileExistsError as e:
+            raise Conflict(f"version {new} exists") from e
+        except Py4JJavaError as e:
+            if self._fs.exists(last):
+                raise Conflict(f"version {new} exists") from e
+            raise
+        finally:
             self._fs.delete(part, False)
-            raise Conflict(f"version {new} exists")
         return new
 
+    def _rebased(self, gone: set[str], new: list[Shard]) -> int:
+        """Commits the newest version without the shards gone and with the new ones. Raises Conflict if another writer has replaced one of gone."""
+        for _ in range(self.TRIES):
+            now = self.shards(onto := self.version())
+            if not gone <= {s.name for s in now}:
+                break
+            try:
+                return self.commit([s for s in now if s.name not in gone] + new, onto)
+            except Conflict:
+                continue
+        raise Conflict("another writer has replaced the shards, or was always first")
+
+    def expire(self, keep: int = 1) -> int:
+        """Drops all versions but the newest `keep`, and the shards that none of those names; returns how many shards went."""
+        last = self.version()
+        old = range(max(1, last - keep + 1))
+        kept = {s.name for v in range(max(1, last - keep + 1), last + 1) for s in self.shards(v)}
+        found = [v for v in old if v and self._fs.exists(self._path(f"{self.root}/manifest/v{v:08d}"))]
+        gone = {s.name for v in found for s in self.shards(v)} - kept
+        for v in found:
+            self._fs.delete(self._path(f"{self.root}/manifest/v{v:08d}"), False)
+        for name in gone:
+            self._fs.delete(self._path(f"{self.root}/{name}"), False)
+        return len(gone)
+
     # Writes
 
     def append(self, batch: DataFrame) -> int:
         """Each task of the batch writes its rows as shards of rows_per_shard rows at most; there is no shuffle."""
-        onto = self.version()
-        folder = scratch(self.spark, f"arrived-{onto + 1:08d}").rsplit("/", 1)[1]
+        folder = scratch(self.spark, f"arrived-{self.version() + 1:08d}").rsplit("/", 1)[1]
         batch.write.option("maxRecordsPerFile", self.rows_per_shard).option("compression", "zstd").parquet(f"{self.root}/{folder}")
-        return self.commit(self.shards(onto) + self._files(folder), onto)
+        return self._rebased(set(), self._files(folder))
 
     def tier(self, size: int) -> int:
         return max(0, int(math.log(max(size, 1) / self.base_bytes, self.fanout))) if size > self.base_bytes else 0
@@ -128,18 +170,24 @@ class ShardStore:
             self.spark.conf.unset(key) if was is None else self.spark.conf.set(key, was)
 
     def _compact(self, schema: T.StructType) -> int:
-        while runs := self.plan(now := self.shards(onto := self.version())):
+        lost = 0
+        while runs := self.plan(self.shards(onto := self.version())):
             merged: list[Shard] = []
             gone: set[str] = set()
             for k in range(0, len(runs), self.merges_per_job):
                 part = runs[k : k + self.merges_per_job]
-                folder = scratch(self.spark, f"merged-{onto + 1:08d}").rsplit("/", 1)[1]
+                folder = scratch(self.spark, f"merged-{onto + 1:08d}-{k // self.merges_per_job:06d}").rsplit("/", 1)[1]
                 union_all([self.spark.read.schema(schema).parquet(*[f"{self.root}/{s.name}" for s in r]).coalesce(1) for r in part]).write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
                 merged += self._files(folder)
                 gone |= {s.name for r in part for s in r}
-            self.commit([s for s in now if s.name not in gone] + merged, onto)
-            for name in gone:  # only after the commit
-                self._fs.delete(self._path(f"{self.root}/{name}"), False)
+            try:
+                self._rebased(gone, merged)
+            except Conflict:  # another compaction was first: its result is looked at anew
+                for s in merged:
+                    self._fs.delete(self._path(f"{self.root}/{s.name}"), False)
+                lost += 1
+                if lost == self.TRIES:
+                    raise
         return self.version()
 
     def read(self, schema: T.StructType, version: int | None = None) -> DataFrame:
@@ -164,11 +212,12 @@ def nullable(schema: T.StructType) -> T.StructType:
 def shard_documents(docs: DataFrame, root: str | None = None, **options) -> tuple[ShardStore, DataFrame]:
     """Appends docs to a store and compacts it. Returns the store and, read back from its shards, docs with
     _shard added. All columns and values are kept as they are, nulls and repeated rows too; a column of docs
-    named _shard is renamed to _shard_in. An empty table gives a version without rows.
+    named _shard in any case is renamed to _shard_in, with more underscores in front if that is taken as well. The
+    shards as they arrived stay for readers of version 1 until expire(). An empty table gives a version without rows.
     """
     spark = docs.sparkSession
-    if "_shard" in docs.columns:
-        docs = docs.withColumnRenamed("_shard", "_shard_in")
+    if any(c.lower() == "_shard" for c in docs.columns):
+        docs = docs.withColumnRenamed("_shard", free_name(docs, "_shard_in"))
     store = ShardStore(spark, root or scratch(spark, "shards"), **options)
     store.append(docs)
     store.compact(nullable(docs.schema))
@@ -177,7 +226,11 @@ def shard_documents(docs: DataFrame, root: str | None = None, **options) -> tupl
 
 def shard_placement(docs: DataFrame, **options) -> DataFrame:
     """doc_id and where compaction put it: shard_no, tier, shard_bytes, version; text_crc32 (null text: of the empty one) is of the text read back."""
-    store, rows = shard_documents(docs, **options)
+    return placement(*shard_documents(docs, **options))
+
+
+def placement(store: ShardStore, rows: DataFrame) -> DataFrame:
+    """Of the rows read back from a store."""
     rows = rows.select("doc_id", F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"), F.col("_shard"))
     out = rows.join(store.table(), F.col("_shard") == F.col("shard"))
     return out.select("doc_id", "shard_no", "tier", "shard_bytes", F.lit(store.version()).alias("version"), "text_crc32")

@@ -1,10 +1,14 @@
+import os
 import random
+import zlib
+from concurrent.futures import ThreadPoolExecutor
 from fractions import Fraction
 
+import pyarrow.parquet as pq
 import pytest
 
-from registrum.llm.mixing import mixed_documents, pareto_mix
-from registrum.llm.sharding import Conflict, ShardStore, nullable, shard_documents, shard_placement
+from registrum.llm.mixing import by_length, mixed_documents, pareto_mix
+from registrum.llm.sharding import Conflict, ShardStore, nullable, placement, shard_documents, shard_placement
 
 
 def targets(sizes, weights=(3, 1, 2), share=Fraction(3, 2), copies=2):
@@ -86,7 +90,74 @@ def test_store(spark, corpus, tmp_path):
     assert back.select("_shard").distinct().count() == len(after)
     with pytest.raises(Conflict):
         store.commit(after, 1)
-    assert store.version() >= 3
+    last = store.version()
+    assert last >= 3
+    first = store.read(nullable(docs.schema), version=1)
+    assert sorted(r.doc_id for r in first.collect()) == list(range(600))
+    assert store.expire(keep=1) >= len(before) and store.read(nullable(docs.schema)).count() == 900 and store.version() == last
+    with pytest.raises(Exception):  # noqa: B017
+        store.shards(1)
+
+
+def test_two_writers(spark, corpus, tmp_path):
+    docs = corpus([f"text {k}" for k in range(40)])
+    one, two = (ShardStore(spark, f"file://{tmp_path}/s", fanout=2, rows_per_shard=5) for _ in range(2))
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(lambda k: (one, two)[k % 2].append(docs.filter(f"doc_id % 8 = {k}")), range(8)))
+    assert sorted(done) == list(range(1, 9))
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda s: s.compact(nullable(docs.schema)), (one, two)))
+    assert sorted(r.doc_id for r in one.read(nullable(docs.schema)).collect()) == list(range(40))
+
+
+def test_placement_against_the_files(spark, corpus):
+    """Every row once, in the file that holds it, with the checksum of its text."""
+    docs = corpus([(k % 90, f"text {k} " * (k % 70)) for k in range(200)] + [(None, None)])
+    store, back = shard_documents(docs, rows_per_shard=9, base_bytes=500, target_bytes=6000)
+    rows = []
+    for n, s in enumerate(sorted(store.shards(), key=lambda s: s.name)):
+        at = f"{store.root}/{s.name}"
+        table = pq.read_table(at.removeprefix("file://"))
+        rows += [(i, n, store.tier(s.bytes), os.path.getsize(at.removeprefix("file://")), store.version(), zlib.crc32((t or "").encode())) for i, t in zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), strict=True)]
+    got = placement(store, back).collect()
+    assert sorted(map(repr, rows)) == sorted(repr(tuple(r)) for r in got) and len(rows) == 201
+
+
+def test_clashing_shard_column(corpus):
+    from pyspark.sql import functions as F
+
+    _, back = shard_documents(corpus(["a", "b"]).select("*", F.lit(1).alias("_SHARD"), F.lit(2).alias("_shard_in")))
+    assert {(r["__shard_in"], r["_shard_in"]) for r in back.collect()} == {(1, 2)}
+
+
+def test_odds_by_length_are_filled_up(corpus):
+    """Documents of high odds reach two copies, and the others make up for them."""
+    texts = ["w " * (1200 if k % 10 == 0 else 150 if k % 3 == 0 else 20) for k in range(120)]
+    got = pareto_mix(corpus(texts, ["a", "b"] * 60), share=(17, 10), weights=(1, 1), odds=by_length).collect()
+    taken, target = sum(x.taken for x in got), {x.source: x.target for x in got}
+    assert 0 <= sum(target.values()) - taken < 2 and all(x.taken <= 2 * x.size for x in got)
+    assert len({round(x.pi + x.whole, 9) for x in got}) > 2
+
+
+@pytest.mark.parametrize("held", [1, 7])
+def test_the_end_of_a_target_is_found_in_steps(corpus, monkeypatch, held):
+    from registrum.llm import mixing
+
+    r = random.Random(held)
+    docs = corpus([(k // 2, "w " * r.randint(0, 9)) for k in range(600)], ["a"] * 500 + [None] * 100)
+    want = sorted((x.doc_id, x.taken) for x in pareto_mix(docs).collect())
+    monkeypatch.setattr(mixing, "HELD", held)
+    monkeypatch.setattr(mixing, "PARTS", 3)
+    assert sorted((x.doc_id, x.taken) for x in pareto_mix(docs).collect()) == want
+
+
+def test_mixed_documents_follow_the_mix(corpus):
+    r = random.Random(9)
+    docs = corpus(["w " * r.choice([0, 1, 5, 300]) for _ in range(200)], [r.choice(["a", "b", None]) for _ in range(200)])
+    n = {x.doc_id: x["count"] for x in mixed_documents(docs).groupBy("doc_id").count().collect()}
+    for x in pareto_mix(docs).collect():
+        if x.size:
+            assert n.get(x.doc_id, 0) == int(x.taken / x.size + 0.5)
 
 
 def test_plan_takes_similar_sizes(spark, tmp_path):
