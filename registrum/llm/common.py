@@ -120,27 +120,41 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 60, most: int = 1 << 20) -> DataFrame:
     """Connected components of an undirected graph by alternating large-star and small-star steps.
 
     edges: u, v (long); repeated edges, both directions and loops are fine. Returns node, component
     (the least node that can be reached), for each node of an edge. Every step sends a node's
-    edges to the least neighbour by min() aggregates and joins, so no neighbourhood is collected.
+    edges to the least neighbour by min() aggregates and joins, so no neighbourhood is collected. A node with more than `most`
+    edges is dealt to several tasks in the joins.
     """
     cur = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
+    count = cur.count()
     # Steps of few rows run in few tasks; there are as many more as there are edges.
-    tasks = 1 + cur.count() // 500_000
+    tasks = 1 + count // 500_000
     cur, before = cur.coalesce(tasks), None
+
+    def joined(edges: DataFrame, least: DataFrame) -> DataFrame:
+        """edges (u, v) with m of u. least: k, m, n (edges of k)."""
+        if count <= most:
+            return edges.join(least.drop("n"), F.col("u") == F.col("k"))
+        # There are at most 2 * count / most such nodes.
+        hubs = least.filter(F.col("n") > most).select(F.col("k").alias("hub"), F.ceil(F.col("n") / most).cast("int").alias("parts"))
+        dealt = edges.join(F.broadcast(hubs) if 2 * count // most <= 1_000_000 else hubs, F.col("u") == F.col("hub"), "left")
+        dealt = dealt.select("u", "v", F.pmod(F.xxhash64("v"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
+        copies = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("n") / most).cast("int"), F.lit(1)) - 1))
+        return dealt.join(least.select("k", "m", copies.alias("of")), (F.col("u") == F.col("k")) & (F.col("part") == F.col("of")))
+
     for _ in range(rounds):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
-        least = least.select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).coalesce(tasks)
+        least = least.select(F.col("u").alias("k"), F.least("u", "m").alias("m"), "n")
         # Large star: each larger neighbour v of u is linked to the least of u and its neighbours.
-        large = both.filter("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct().coalesce(tasks)
+        large = joined(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct().coalesce(tasks)
         # Small star: u and its smaller neighbours are linked to the least of them.
-        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m").coalesce(tasks)
-        joined = large.join(low, F.col("u") == F.col("k")).coalesce(tasks)
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("k"), "m", "n").coalesce(tasks)
+        linked = joined(large, low).coalesce(tasks)
+        small = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(linked.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
         cur = cut(small.coalesce(tasks))
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

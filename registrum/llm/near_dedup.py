@@ -20,13 +20,11 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import components, cut, free_name, need, small_batches, words, written
+from .common import Beside, beside, components, cut, free_name, from_files, need, numbered, sliced, small_batches, words, written
 
 SIDE, ROWS = 13, 3
-SLOTS = 1 << 22
 CELLS = 1 << 20
 PARITY = 2048
 _random = np.random.default_rng(6)
@@ -190,23 +188,20 @@ def star_pairs(nodes: DataFrame, held: int = 8192) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
-    """node, set (sorted 64-bit hashes), parity of rows (node, row). A bit map of a fixed size spares the other rows' work."""
-    slot = F.pmod(F.xxhash64("row"), F.lit(SLOTS))
-    bits = rows.select((slot + 1).alias("v")).groupBy(F.bitmap_bucket_number("v").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("m")).collect()
-    flags = np.zeros(SLOTS, bool)
-    for r in bits:
-        flags[(r.b - 1) * 32768 : r.b * 32768] = np.unpackbits(np.frombuffer(r.m, "u1"), bitorder="little")
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(flags, bitorder="little"))
+    """node, set (sorted 64-bit hashes), parity of rows (node, row), which are put beside the texts, so that no text is shuffled and no other
+    row's set is made again."""
+    at = beside(rows.select("row", "node"), "rows")
 
     def make(batches):
-        shingles, wanted = Shingler(shingle), np.unpackbits(sent.value, bitorder="little").astype(bool)
-        for b in batches:
-            b = b.filter(pa.array(wanted[b.column("slot").to_numpy()]))
-            if b.num_rows:
-                found = [shingles(t) for t in b.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([s.tobytes() for s in found], pa.binary()), pa.array([parity(s) for s in found], pa.binary())], names=["row", "set", "parity"])
+        shingles, lists = Shingler(shingle), Beside(at)
+        for b in sliced(batches):
+            nodes = [None if (of := lists.of(row)) is None else int(of["node"][0]) for row in b.column("row").to_pylist()]
+            wanted = [k for k, node in enumerate(nodes) if node is not None]
+            if wanted:
+                found = [shingles(t) for t in b.column("text").take(pa.array(wanted)).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[k] for k in wanted], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()), pa.array([parity(s) for s in found], pa.binary())], names=["node", "set", "parity"])
 
-    return docs.select("row", slot.alias("slot"), "text").mapInArrow(make, "row long, set binary, parity binary").join(rows, "row").select("node", "set", "parity")
+    return docs.select("row", "text").mapInArrow(make, "node long, set binary, parity binary")
 
 
 def compared(pairs: DataFrame, items: DataFrame, column: str, test, percent: int, most: int = 1024) -> DataFrame:
@@ -260,7 +255,9 @@ def counts_of(sets: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], names=["k", "part"])
 
     out = np.zeros(CELLS, "i8")
-    for r in sets.select("set").mapInArrow(count, "k int, part binary").repartition("k").mapInArrow(add, "k int, part binary").collect():
+    with small_batches(sets.sparkSession):
+        found = sets.select("set").mapInArrow(count, "k int, part binary").repartition("k").mapInArrow(add, "k int, part binary").collect()
+    for r in found:
         out[r.k * chunk : (r.k + 1) * chunk] += np.frombuffer(r.part, "i8")
     return out
 
@@ -288,9 +285,10 @@ def rest_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
                 yield _batch(dict(zip(("shingle", "node", "n", "at", "small"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
     rows = sets.select("node", "set").mapInArrow(prefixes, "shingle long, node long, n long, at long, small boolean").join(groups, "node")
-    of = W.partitionBy("shingle")
-    rows = rows.withColumn("low", F.min("component").over(of)).withColumn("high", F.max("component").over(of)).withColumn("any", F.max("failed").over(of))
-    rows = rows.filter("low <> high and any").drop("low", "high", "any")
+    rows = written(rows, "prefixes", "lz4")
+    # Shingles at which a failed component meets another one; sums by task come before the shuffle, however common a shingle is.
+    meeting = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("failed").alias("any")).filter("low <> high and any")
+    rows = rows.join(meeting.select("shingle"), "shingle", "left_semi")
     a, b = rows.filter("small").alias("a"), rows.alias("b")
     least = F.ceil(F.lit(percent) * (F.col("a.n") + F.col("b.n")) / F.lit(100 + percent))
     after = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
@@ -311,12 +309,11 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
     Rows are linked whose sets of distinct shingles of `shingle` words have 100 * shared >= percent * all.
     component_id is the least doc_id that links reach. A row without words has no shingles and
     is linked with nothing. A null doc_id is never the least unless its component has no other; repeated rows fall into one
-    component. docs must give the same rows in the same order when it is read twice, as files do. An
+    component. A table that is not read straight from files is written first, so that its rows keep their numbers. An
     empty table gives no rows; other columns are ignored.
     """
     need(docs, "doc_id", "text")
-    small_batches(docs.sparkSession)
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "row")
     every = written(sketched(docs, shingle), "sketches")
     nodes = every.filter("n > 0").groupBy("print").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.min("n").alias("n"), F.min_by("sketch", "row").alias("sketch"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -344,6 +341,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80) ->
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs without all but one of each component: that with the least doc_id, and of rows that repeat it the first."""
+    if not from_files(docs):
+        docs = written(docs, "rows")
     kept = near_duplicates(docs, **options).filter("kept")
     whole = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(-1 - F.col("row"))
     row, wanted = free_name(docs, "_row"), free_name(docs, "_kept_row")

@@ -1,4 +1,5 @@
 import random
+from functools import partial
 
 import numpy as np
 import pytest
@@ -100,7 +101,8 @@ def test_shingles_across_the_memo():
     assert len(s("a b a b")) == 2 and len(s("a")) == 1 and len(s("")) == 0 and (s("A B") == s("a  b")).all()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most", [1 << 20, 7])
+def test_components(spark, most):
     r = random.Random(2)
     edges = [(r.randrange(200), r.randrange(200)) for _ in range(150)] + [(1000, k) for k in range(1001, 1100)]
     label = {x: x for e in edges for x in e if e[0] != e[1]}
@@ -108,7 +110,7 @@ def test_components(spark):
         for a, b in edges:
             if a != b:
                 label[a] = label[b] = min(label[a], label[b])
-    assert {x.node: x.component for x in components(spark.createDataFrame(edges, "u long, v long")).collect()} == label
+    assert {x.node: x.component for x in components(spark.createDataFrame(edges, "u long, v long"), most=most).collect()} == label
 
 
 def test_odd_rows(odd, empty, corpus):
@@ -121,6 +123,11 @@ def test_odd_rows(odd, empty, corpus):
 
 
 def test_small_tasks(corpus, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SLOTS", 1 << 22)
-    texts = ["a b c d e f g"] * 30 + ["q r s t u v w x y z"] * 30
-    assert sum(x.kept for x in near_duplicates(corpus(texts), shingle=5).collect()) == 2
+    """Hubs of a few pairs are dealt to several tasks, and tasks hold few nodes before they hand over hubs."""
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(edited(r, base, r.choice([0, 1, 2]))) for _ in range(40)]
+    monkeypatch.setattr(near_dedup, "compared", partial(near_dedup.compared, most=2))
+    monkeypatch.setattr(near_dedup, "star_pairs", partial(near_dedup.star_pairs, held=3))
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in near_duplicates(corpus(texts).repartition(3, "doc_id"), shingle=2).collect()}
+    assert got == brute(list(enumerate(texts)), 2)
