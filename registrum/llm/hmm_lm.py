@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_crc, need, small_batches, words, written
+from .common import id_crc, need, small_batches, word_count, words, written
 
 COMMON, SUFFIXES, LOOKUP = 4096, 4096, 200_000
 END = COMMON
@@ -103,32 +103,50 @@ class Expected:
         first = self.m.start.astype("f4")
         for part, grid, lengths, reach in padded(docs):
             steps, n = grid.shape
-            a = np.zeros((steps, n, self.m.states), "f4")
-            scale = np.ones((steps, n), "f4")
-            for t in range(steps):
-                r = reach[t]
-                x = (a[t - 1, :r] @ move if t else first) * emit[grid[t, :r]]
-                scale[t, :r] = c = x.sum(1)
-                a[t, :r] = x / c[:, None]
-            self.log10 += float(np.log10(scale, dtype="f8").sum())
-            b = np.ones((n, self.m.states), "f4")
+            block = max(1, CELLS // n)
+
+            def forward(lo: int, before, grid=grid, reach=reach, steps=steps, n=n, block=block):
+                """Scaled forward variables and scales of a block of times, from the variables at the time before it."""
+                hi = min(lo + block, steps)
+                a, scale = np.zeros((hi - lo, n, self.m.states), "f4"), np.ones((hi - lo, n), "f4")
+                for t in range(lo, hi):
+                    r = reach[t]
+                    x = (before[:r] @ move if t else first) * emit[grid[t, :r]]
+                    scale[t - lo, :r] = c = x.sum(1)
+                    a[t - lo, :r] = x / c[:, None]
+                    before = a[t - lo]
+                return a, scale
+
+            # Of a text longer than a block the variables are kept at the blocks' ends only, and those in between are computed again.
+            ends = [None]
+            for lo in range(0, steps, block):
+                a, scale = forward(lo, ends[-1])
+                ends.append(a[-1].copy())
+                self.log10 += float(np.log10(scale, dtype="f8").sum())
+            b, after = np.ones((n, self.m.states), "f4"), None
             moves = np.zeros((self.m.states, self.m.states), "f4")
             total = np.zeros_like(self.move)
-            for t in range(steps - 1, 0, -1):
-                r = reach[t]
-                eb = emit[grid[t, :r]] * b[:r] / scale[t, :r, None]
-                moves += a[t - 1, :r].T @ eb
-                b[:r] = eb @ move.T
-                a[t - 1, :r] *= b[:r]
-                if t % 512 == 0:
-                    total += moves
-                    moves[:] = 0
+            for k, lo in reversed(list(enumerate(range(0, steps, block)))):
+                if lo + block < steps:
+                    a, scale = forward(lo, ends[k])
+                for t in range(lo + len(a) - 1, lo - 1, -1):
+                    if t + 1 < steps:
+                        r = reach[t + 1]
+                        eb = emit[grid[t + 1, :r]] * b[:r] / after[:r, None]
+                        moves += a[t - lo, :r].T @ eb
+                        b[:r] = eb @ move.T
+                        a[t - lo, :r] *= b[:r]
+                    after = scale[t - lo]
+                    if t % 512 == 0:
+                        total += moves
+                        moves[:] = 0
+                if not lo:
+                    self.start += a[0].sum(0)
+                at = np.arange(lo, lo + len(a))[:, None] < lengths
+                seen = grid[lo : lo + len(a)][at]
+                for j in range(self.m.states):
+                    self.emit[:, j] += np.bincount(seen, a[:, :, j][at], CLASSES)
             self.move += (total + moves) * self.m.move
-            self.start += a[0].sum(0)
-            at = np.arange(steps)[:, None] < lengths
-            seen = grid[at]
-            for k in range(self.m.states):
-                self.emit[:, k] += np.bincount(seen, a[:, :, k][at], CLASSES)
 
 
 def first_model(docs: list[np.ndarray], back: np.ndarray, states: int, rounds: int, seed: int = 11) -> HMM:
@@ -242,7 +260,8 @@ def baum_welch(docs: DataFrame, m: HMM, lexicon, back: np.ndarray, buffer: int =
         at = np.concatenate([np.arange(-1 - k, 0), used])  # -1 - k: starts, then moves, then classes
         yield pa.RecordBatch.from_arrays([pa.array(at.astype("i4")), *[pa.array(np.ascontiguousarray(rows[:, i])) for i in range(k)]], names=["at", *names])
 
-    summed = docs.select("text").mapInArrow(expect, "at int, " + ", ".join(f"{n} double" for n in names)).groupBy("at").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    with small_batches(spark):
+        summed = docs.select("text").mapInArrow(expect, "at int, " + ", ".join(f"{n} double" for n in names)).groupBy("at").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     start, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
     for at, *row in zip(*[summed.column(c).to_pylist() for c in ("at", *names)], strict=True):
         if at >= 0:
@@ -254,34 +273,45 @@ def baum_welch(docs: DataFrame, m: HMM, lexicon, back: np.ndarray, buffer: int =
     return HMM.from_counts(start, move, emit, back)
 
 
+def seed_texts(fold: DataFrame, most: int, tokens: int) -> list[str]:
+    """Whole texts of the rows of the least hashes, `most` at most, that fit into so many tokens together. Only their hashes and sizes are gathered
+    before it is known which fit, so the driver never holds more."""
+    sized = fold.select("text", F.xxhash64("doc_id", "text").alias("h"), (word_count(F.col("text")) + 1).alias("n"))
+    room, chosen = tokens, set()
+    for r in sized.select("h", "n").orderBy("h").limit(most).collect():
+        if r.n <= room:
+            room -= r.n
+            chosen.add(r.h)
+    if not chosen:
+        return []
+    found = sized.filter(F.col("h").isin(*chosen)).orderBy("h").limit(most).select("text", "n").collect()
+    out: list[str] = []
+    for r in found:
+        tokens -= r.n
+        if tokens < 0:  # rows that repeat a chosen one
+            break
+        out.append(r.text)
+    return out
+
+
 def score_documents(docs: DataFrame, *, folds: int = 7, held_out: int = 2, states: int = 8, passes: int = 2, seed_docs: int = 600, seed_tokens: int = 400_000, seed_rounds: int = 8) -> DataFrame:
     """Scores every row of docs with a model of the rows whose crc32(doc_id) mod folds is not held_out.
 
     Counts and `passes` rounds of Baum-Welch take all training rows. Only the model that the first round starts
-    from comes from a bounded sample: about seed_docs rows that a hash picks over the whole table, up to seed_tokens
-    tokens in whole documents. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
+    from comes from a bounded sample: of the seed_docs training rows of the least hashes, in that order, whole documents as long as they
+    fit into seed_tokens tokens together, whatever their length. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
     A null text is empty and has its end alone; a null id is hashed as an empty one; repeated rows are scored
     and learnt from each. Without training rows no token is known and the model knows uniform classes only.
     """
     need(docs, "doc_id", "text")
     spark = docs.sparkSession
-    small_batches(spark)
     fold = docs.select("doc_id", "text").filter(id_crc(F.col("doc_id")) % folds != held_out)
     n_docs = fold.count()
     counts = written(count_words(fold), "words")
     lex, back, total, vocabulary = build_lexicon(counts, n_docs)
     lexicon = spark.sparkContext.broadcast(lex)
 
-    bar = int(min(1.0, seed_docs / max(1, n_docs)) * (1 << 31))
-    picked = fold.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < bar).limit(2 * seed_docs)
-    read, sample, used = lex.reader(), [], 0
-    for r in sorted(picked.collect(), key=lambda r: (len(r.text or ""), r.text or "", str(r.doc_id))):
-        x = read(r.text)[0]
-        if sample and used + len(x) > seed_tokens:
-            break
-        sample.append(x)
-        used += len(x)
-    m = first_model(sample, back, states, seed_rounds)
+    m = first_model([lex.reader()(t)[0] for t in seed_texts(fold, seed_docs, seed_tokens)], back, states, seed_rounds)
     for _ in range(passes if n_docs else 0):
         m = baum_welch(fold, m, lexicon, back)
 

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from registrum.llm import hmm_lm
 from registrum.llm.hmm_lm import CLASSES, HMM, Expected, likelihood, score_documents
@@ -33,7 +34,9 @@ def test_forward_recursion_against_all_paths():
         assert math.isclose(10**x, sum(p for p, _ in paths(m, d)), rel_tol=1e-9)
 
 
-def test_expected_counts_against_all_paths():
+@pytest.mark.parametrize("cells", [1 << 21, 1, 4])
+def test_expected_counts_against_all_paths(monkeypatch, cells):
+    monkeypatch.setattr(hmm_lm, "CELLS", cells)
     m = random_model()
     docs = [np.array(d, "i4") for d in ([0, 1, 2, 3], [2], [3, 3, 1])]
     e = Expected(m)
