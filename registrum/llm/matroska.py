@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import need, small_batches, written
+from .common import need, sliced, written
 
 # Element ids of the Matroska specification (RFC 9559) and of EBML (RFC 8794).
 EBML, EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE, DOC_TYPE, DOC_TYPE_VERSION, DOC_TYPE_READ_VERSION = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
@@ -268,7 +268,6 @@ def padded(text: str | None) -> tuple[int, bytes]:
 def to_media(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, media: each whole text (null: empty) as a Matroska file, in a table in the shared folder."""
     need(docs, "doc_id", "text")
-    small_batches(docs.sparkSession)
 
     def pack(batches):
         for b in batches:
@@ -311,22 +310,28 @@ def _body(data: bytes, at: int) -> int:
     return read_vint(data, read_vint(data, at, keep=True)[1])[1]
 
 
+def described(data: bytes | None) -> tuple:
+    """payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of one file."""
+    if data is None:
+        return (None,) * 6
+    own = len(data), hashlib.sha256(data).hexdigest()
+    try:
+        parsed = parse(data)
+        payload = payload_of(data, parsed)
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), *own, feature(data, parsed, payload)
+    except (ValueError, IndexError, struct.error):
+        return None, None, None, *own, None
+
+
 def features(media: DataFrame) -> DataFrame:
-    """What a media table holds, from its stored bytes: the payload's length and checksums, the file's, and the features."""
+    """What a media table holds, from its stored bytes: the payload's length and checksums, the file's, and the features. A null file has null for
+    all of them; one that cannot be parsed, cut short or not of this format, has its own length and checksum and null for the rest."""
 
     def read(batches):
-        for b in batches:
-            size, sha, tail, whole, digest, text = [], [], [], [], [], []
-            for data in b.column("media").to_pylist():
-                parsed = parse(data)
-                payload = payload_of(data, parsed)
-                size.append(len(payload))
-                sha.append(hashlib.sha256(payload).hexdigest())
-                tail.append(zlib.crc32(payload[-64:]))
-                whole.append(len(data))
-                digest.append(hashlib.sha256(data).hexdigest())
-                text.append(feature(data, parsed, payload))
-            columns = [pa.array(size, pa.int64()), pa.array(sha, pa.string()), pa.array(tail, pa.int64()), pa.array(whole, pa.int64()), pa.array(digest, pa.string()), pa.array(text, pa.string())]
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        for b in sliced(batches):
+            rows = [described(data) for data in b.column("media").to_pylist()]
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_bytes"), *columns], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    return media.mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

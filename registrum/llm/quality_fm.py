@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_crc, need, small_batches, words
+from .common import id_crc, need, sliced, small_batches, words
 
 BITS = 15
 WORDS = 1 << BITS
@@ -110,24 +110,25 @@ def train(docs: DataFrame, labels: DataFrame, *, target: str = "quality", folds:
     """Fits a machine on the labelled documents whose crc32(doc_id) mod folds is not held_out.
 
     max_rows bounds the labelled documents, which a hash of their ids picks from all of them. Rows of labels with a
-    null id or label are passed over; a repeated id counts once, with the mean of its labels, and a repeated document by each row.
+    null id or label are passed over; a repeated id counts once, with the mean of its labels and the least of its texts.
     Without any labelled document every score is that of an untrained machine, about a half.
     """
     need(labels, "doc_id", target)
     need(docs, "doc_id", "text")
-    small_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").alias("_label_id"), F.col(target).cast("double").alias("_label")).filter(F.col("_label_id").isNotNull() & F.col("_label").isNotNull())
     known = known.filter(id_crc(F.col("_label_id")) % folds != held_out).groupBy("_label_id").agg(F.avg("_label").alias("_label"))
     # At most max_rows rows: small enough to broadcast.
     picked = F.broadcast(known.orderBy(F.xxhash64("_label_id"), "_label_id").limit(max_rows))
-    joined = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_label_id")).select("doc_id", "text", F.col("_label").alias("label"))
+    joined = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("_label_id"))
+    joined = joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_label").alias("label"))
 
     def features(batches):
         for b in batches:
             got = [extract(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("label"), pa.array([p.tobytes() for p, _ in got], pa.binary()), pa.array([x.tobytes() for _, x in got], pa.binary())], names=["doc_id", "label", "place", "value"])
 
-    found = sorted(joined.mapInArrow(features, "doc_id long, label double, place binary, value binary").limit(2 * max_rows).collect(), key=lambda r: (r.doc_id, r.place))
+    with small_batches(docs.sparkSession):
+        found = sorted(joined.mapInArrow(features, "doc_id long, label double, place binary, value binary").collect(), key=lambda r: r.doc_id)
     m = Machine()
     if found:
         m.fit([(np.frombuffer(r.place, "i4"), np.frombuffer(r.value, "f4")) for r in found], np.array([r.label for r in found], "f4"), **options)
@@ -137,7 +138,6 @@ def train(docs: DataFrame, labels: DataFrame, *, target: str = "quality", folds:
 def with_scores(docs: DataFrame, machine: Machine, column: str = "_quality") -> DataFrame:
     """docs with a double in column (0 to 1) added; one pass over the rows, with no shuffle."""
     spark = docs.sparkSession
-    small_batches(spark)
     model = spark.sparkContext.broadcast((machine.w0, machine.w, machine.v))
     if column in docs.columns:
         raise ValueError(f"docs has a column {column}")
@@ -145,7 +145,7 @@ def with_scores(docs: DataFrame, machine: Machine, column: str = "_quality") ->
     def score(batches):
         m = Machine()
         m.w0, m.w, m.v = model.value
-        for b in batches:
+        for b in sliced(batches):
             got = m.score([extract(t) for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], names=[*b.schema.names, column])
 
