@@ -73,3 +73,12 @@ RAW_FIELDS = ("id", "name", "category", "city", "address", "rating", "reviews_co
 
 # The fields whose change makes an update.
 COMPARED_FIELDS = ("name", "name_key", "category", "city", "city_key", "address", "rating", "reviews_count", "site", "phone", "phone_e164")
+
+# A capital letter that the first byte of a UTF-8 pair becomes in windows-1251, and what its second byte becomes.
+BROKEN_PAIR = r"[РСВТ][\u0098-¿Ђ-Џђ-џ–-™]"
+
+# Misspelt schemes of web addresses.
+SCHEME_TYPO = "(?i)^(h?ttp?s?|htp|htps|htt):"
+
+# A text in the place of a city that is a street or a house.
+ADDRESS = r"(?iu)^(ул|пр|просп|пер|ш|наб|б-р|д)\.?[ ]|,[ ]*д\.[ ]*[0-9]"

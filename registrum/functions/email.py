@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .constants import DERIVED_LOCAL_PARTS, DISPOSABLE_DOMAINS, DOMAIN_TYPOS, ROLE_LOCAL_PARTS
 from .fields import issues
+from .steps import Steps, inline
 from .text import BLANK, strip
 
 
@@ -37,19 +38,26 @@ def domain_part(email: Column) -> Column:
     return F.when(email.contains("@"), F.substring_index(email, "@", -1)).otherwise("")
 
 
-def fix_domain(email: Column) -> Column:
+@inline
+def fix_domain(email: Column) -> Steps:
     """struct(email, fixed): known misspellings, then repeated dots and a dot at either end."""
-    domain = F.lower(domain_part(email))
+    at = yield {"domain0": F.lower(domain_part(email))}
+    domain = at["domain0"]
     known = F.create_map(*[F.lit(x) for kv in DOMAIN_TYPOS.items() for x in kv])[domain]
     tidy = F.regexp_replace(F.regexp_replace(domain, r"\.{2,}", "."), r"^\.|\.$", "")
-    better = F.coalesce(known, F.when(tidy != domain, tidy))
-    fixed = email.contains("@") & better.isNotNull()
+    at = yield {"known": known, "tidy": tidy}
+    at = yield {"better": F.coalesce(at["known"], F.when(at["tidy"] != domain, at["tidy"]))}
+    better = at["better"]
+    at = yield {"fixed": email.contains("@") & better.isNotNull()}
+    fixed = at["fixed"]
     return F.struct(F.when(fixed, F.concat(local_part(email), F.lit("@"), better)).otherwise(email).alias("email"), fixed.alias("fixed"))
 
 
-def syntax(email: Column) -> Column:
+@inline
+def syntax(email: Column) -> Steps:
     """What is wrong with the form of an address, in order."""
-    local, domain = local_part(email), domain_part(email)
+    at = yield {"local": local_part(email), "domain": domain_part(email)}
+    local, domain = at["local"], at["domain"]
     top = F.substring_index(domain, ".", -1)
     found = issues(
         (F.length(email) > 254, "syntax_too_long"),
@@ -76,15 +84,22 @@ def is_disposable(email: Column) -> Column:
     return F.lower(F.substring_index(email, "@", -1)).isin(*DISPOSABLE_DOMAINS)
 
 
-def offline_verdict(email: Column) -> Column:
+@inline
+def offline_verdict(email: Column) -> Steps:
     """struct(email, normalized, local_part, domain, status, stage_failed, issues) from the address alone. A role is noted and does not reject."""
-    raw = strip(email)
-    mended = fix_domain(F.lower(raw))
-    norm = mended["email"]
-    wrong = syntax(norm)
-    bad, throw_away = F.size(wrong) > 0, is_disposable(norm)
-    notes = issues((mended["fixed"], "domain_typo_fixed"))
-    more = F.when(bad, wrong).otherwise(issues((throw_away, "disposable_domain"), (~throw_away & is_role(norm), "role_account")))
+    at = yield {"raw": strip(email)}
+    raw = at["raw"]
+    at = yield {"low": F.lower(raw)}
+    mended = yield from fix_domain.steps(at["low"])
+    at = yield {"norm": mended["email"], "mended": mended["fixed"]}
+    norm, repaired = at["norm"], at["mended"]
+    wrong = yield from syntax.steps(norm)
+    at = yield {"wrong": wrong, "throw_away": is_disposable(norm), "role": is_role(norm)}
+    wrong, throw_away, role = at["wrong"], at["throw_away"], at["role"]
+    at = yield {"bad": F.size(wrong) > 0}
+    bad = at["bad"]
+    notes = issues((repaired, "domain_typo_fixed"))
+    more = F.when(bad, wrong).otherwise(issues((throw_away, "disposable_domain"), (~throw_away & role, "role_account")))
     return F.struct(
         raw.alias("email"),
         norm.alias("normalized"),
@@ -101,7 +116,8 @@ def interpret_smtp(real: Column, control: Column) -> Column:
     return F.when((real == "accepted") & (control == "accepted"), "catch_all").otherwise(real)
 
 
-def final_verdict(verdict: Column, has_mx: Column, existence: Column, smtp: Column) -> Column:
+@inline
+def final_verdict(verdict: Column, has_mx: Column, existence: Column, smtp: Column) -> Steps:
     """struct(status, stage_failed, issues) from the offline verdict and facts of the network; null facts were not asked for."""
     rejected = verdict["status"] == "rejected"
     unknown = ~rejected & (existence.isNull() | (existence == "unknown"))
@@ -118,5 +134,7 @@ def final_verdict(verdict: Column, has_mx: Column, existence: Column, smtp: Colu
         .when(asked & (answer == "accepted"), F.struct(F.when(role, "quarantined").otherwise("valid").alias("status"), F.lit(None).cast("string").alias("stage_failed"), F.lit(None).cast("string").alias("note")))
         .otherwise(F.struct(F.lit("unknown").alias("status"), F.lit(None).cast("string").alias("stage_failed"), F.lit("smtp_not_checked").alias("note")))
     )
+    at = yield {"case": case}
+    case = at["case"]
     extra = F.array_compact(F.array(case["note"], F.when(existence == "absent", "domain_does_not_exist")))
     return F.struct(case["status"].alias("status"), case["stage_failed"].alias("stage_failed"), F.concat(verdict["issues"], extra).alias("issues"))

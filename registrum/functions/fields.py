@@ -10,7 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .constants import CITY_ALIASES
+from .constants import ADDRESS, CITY_ALIASES, SCHEME_TYPO
+from .steps import Steps, inline
 from .text import BLANK, clean, is_empty_marker, squeeze, strip
 
 
@@ -23,45 +24,57 @@ def result(value: Column, found: Column, kind: str, name: str = "value") -> Colu
     return F.struct(value.cast(kind).alias(name), found.alias("issues"))
 
 
-def number(c: Column) -> Column:
+@inline
+def number(c: Column) -> Steps:
     """The number that a text spells: decimals with an exponent, or 0x, 0o and 0b forms; null for other texts."""
     parts = [(r"^0[xX][0-9a-fA-F]+$", 16), (r"^0[oO][0-7]+$", 8), (r"^0[bB][01]+$", 2)]
     out = F.when(c.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), c.try_cast("double"))
     for pattern, base in parts:
         out = out.when(c.rlike(pattern), F.conv(F.substring(c, 3, 64), base, 10).try_cast("double"))
-    return F.when(F.abs(out) < float("inf"), out)
+    at = yield {"number": out}
+    return F.when(F.abs(at["number"]) < float("inf"), at["number"])
 
 
-def rating(raw: Column, is_number: Column) -> Column:
+@inline
+def rating(raw: Column, is_number: Column) -> Steps:
     """A rating from 0 to 5 with one decimal, halves up. raw: text; is_number: the source gave a number."""
-    text = strip(raw)
-    marker = ~is_number & is_empty_marker(text)
+    at = yield {"text": strip(raw), "given": raw.isNotNull() & (is_number | (raw != ""))}
+    text, given = at["text"], at["given"]
+    at = yield {"marker": ~is_number & is_empty_marker(text), "dotted": F.regexp_replace(text, r"^([^,]*),", "$1.")}
+    marker = at["marker"]
+    spelled = yield from number.steps(at["dotted"])
+    at = yield {"spelled": spelled}
+    at = yield {"value": F.when(is_number, raw.try_cast("double")).when(~marker, at["spelled"])}
+    value = at["value"]
+    at = yield {"outside": (value < 0) | (value > 5)}
     comma = ~is_number & ~marker & text.contains(",")
-    value = F.when(is_number, raw.try_cast("double")).when(~marker, number(F.regexp_replace(text, r"^([^,]*),", "$1.")))
-    given = raw.isNotNull() & (is_number | (raw != ""))
-    outside = (value < 0) | (value > 5)
-    found = issues((given & comma, "rating_decimal_comma"), (given & value.isNull(), "rating_not_a_number"), (given & outside, "rating_out_of_range"))
-    return result(F.when(given & ~outside, F.floor(value * 10 + 0.5) / 10), found, "decimal(2,1)")
+    found = issues((given & comma, "rating_decimal_comma"), (given & value.isNull(), "rating_not_a_number"), (given & at["outside"], "rating_out_of_range"))
+    return result(F.when(given & ~at["outside"], F.floor(value * 10 + 0.5) / 10), found, "decimal(2,1)")
 
 
-def reviews(raw: Column, is_number: Column) -> Column:
+@inline
+def reviews(raw: Column, is_number: Column) -> Steps:
     """A count of reviews. A negative one is refused before fractions are rounded, halves up."""
-    text = strip(raw)
-    missing = raw.isNull() | (~is_number & (raw == ""))
+    at = yield {"text": strip(raw), "missing": raw.isNull() | (~is_number & (raw == ""))}
+    text, missing = at["text"], at["missing"]
     spelled = F.when(text.rlike(r"^-?[0-9]+([.,][0-9]+)?$"), F.regexp_replace(text, ",", ".").try_cast("double"))
-    value = F.when(~missing, F.when(is_number, raw.try_cast("double")).otherwise(spelled))
+    at = yield {"value": F.when(~missing, F.when(is_number, raw.try_cast("double")).otherwise(spelled))}
+    value = at["value"]
     whole = value == F.floor(value)
     found = issues((missing, "reviews_missing"), (~missing & value.isNull(), "reviews_not_a_number"), (value < 0, "reviews_negative"), ((value >= 0) & ~whole, "reviews_not_integer"))
     return result(F.when(value >= 0, F.floor(value + 0.5)).try_cast("int"), found, "int")
 
 
-def phone(raw: Column) -> Column:
+@inline
+def phone(raw: Column) -> Steps:
     """phone as given, e164 as +7 and ten digits, issues."""
-    text = clean(raw)
-    letters = text.rlike("(?iu)[a-zа-яё]")
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    size = F.length(digits)
-    national = F.regexp_replace(digits, "^[78]", "")
+    text = yield from clean.steps(raw)
+    at = yield {"phone": text}
+    text = at["phone"]
+    at = yield {"letters": text.rlike("(?iu)[a-zа-яё]"), "digits": F.regexp_replace(text, "[^0-9]", "")}
+    letters = at["letters"]
+    at = yield {"size": F.length(at["digits"]), "national": F.regexp_replace(at["digits"], "^[78]", "")}
+    size, national = at["size"], at["national"]
     found = issues((letters, "phone_contains_letters"), (~letters & (size < 11), "phone_too_short"), (~letters & (size > 11), "phone_too_long"), (~letters & (size == 11) & (F.length(national) != 10), "phone_unexpected_format"))
     e164 = F.when(~letters & (size == 11) & (F.length(national) == 10), F.concat(F.lit("+7"), national))
     return F.struct(text.alias("phone"), e164.alias("e164"), found.alias("issues"))
@@ -139,41 +152,47 @@ def _canonical(texts: pd.Series) -> pd.Series:
     return texts.map(one, na_action="ignore")
 
 
-def site(raw: Column) -> Column:
+@inline
+def site(raw: Column) -> Steps:
     """An address with a scheme and without one slash at its end. Only addresses beyond plain ASCII hosts and paths go to Python."""
-    text = clean(raw)
-    none = ~text.rlike("[.:]") | text.rlike("(?iu)^нет(?=[A-Za-z0-9_])")
-    whole = text.rlike("(?i)^https?://")
-    typo = ~whole & text.rlike("(?i)^(h?ttp?s?|htp|htps|htt):")
-    url = F.when(whole, text).when(typo, F.regexp_replace(text, "^[^:]*:/{0,2}", "http://")).otherwise(F.concat(F.lit("http://"), text))
-    simple = url.rlike(SIMPLE_URL)
-    head = F.regexp_extract(url, "^[^/]*//[^/]*", 0)
+    text = yield from clean.steps(raw)
+    at = yield {"site": text}
+    text = at["site"]
+    at = yield {"none": ~text.rlike("[.:]") | text.rlike("(?iu)^нет(?=[A-Za-z0-9_])"), "whole": text.rlike("(?i)^https?://"), "misspelt": text.rlike(SCHEME_TYPO)}
+    none, whole, typo = at["none"], at["whole"], ~at["whole"] & at["misspelt"]
+    at = yield {"url": F.when(whole, text).when(typo, F.regexp_replace(text, "^[^:]*:/{0,2}", "http://")).otherwise(F.concat(F.lit("http://"), text))}
+    url = at["url"]
+    at = yield {"simple": url.rlike(SIMPLE_URL), "head": F.regexp_extract(url, "^[^/]*//[^/]*", 0)}
+    simple, head = at["simple"], at["head"]
     plain = F.concat(F.lower(head), F.substring(url, F.length(head) + 1, F.length(url)))
     parsed = F.when(simple, plain).otherwise(_canonical(F.when(~none & ~simple, url)))
-    value = F.when(~none, F.regexp_replace(parsed, "/$", ""))
+    at = yield {"value": F.when(~none, F.regexp_replace(parsed, "/$", ""))}
+    value = at["value"]
     found = issues((~none & typo, "site_scheme_typo"), (~none & ~whole & ~typo, "site_scheme_missing"), (text.isNotNull() & value.isNull(), "site_not_a_url"))
     return result(value, found, "string")
 
 
 # Cities
 
-ADDRESS = r"(?iu)^(ул|пр|просп|пер|ш|наб|б-р|д)\.?[ ]|,[ ]*д\.[ ]*[0-9]"
-
-
-def nearest(value: Column, dictionary: list[str]) -> Column:
+@inline
+def nearest(value: Column, dictionary: list[str]) -> Steps:
     """The first of the entries nearest by edits to value (in lower case), within one edit up to six characters and two beyond."""
     if not dictionary:
         return F.lit(None).cast("string")
-    ranked = F.array(*[F.struct(F.levenshtein(value, F.lit(c.lower())).alias("d"), F.lit(k).alias("k"), F.lit(c).alias("c")) for k, c in enumerate(dictionary)])
-    best = F.array_min(ranked)
+    words = F.array(*map(F.lit, dictionary))
+    ranked = F.transform(words, lambda c, k: F.struct(F.levenshtein(value, F.lower(c)).alias("d"), k.alias("k"), c.alias("c")))
+    at = yield {"best": F.array_min(ranked)}
+    best = at["best"]
     return F.when(best["d"] <= F.when(F.length(value) <= 6, 1).otherwise(2), best["c"])
 
 
-def city(raw: Column, dictionary: list[str]) -> Column:
+@inline
+def city(raw: Column, dictionary: list[str]) -> Steps:
     """city as given, key as the dictionary spells it, issues. dictionary: the known cities, a small dimension, in the order that settles ties."""
-    value = squeeze(raw)
-    given = raw.isNotNull() & (raw != "")
-    low = F.lower(value)
+    at = yield {"value": squeeze(raw), "given": raw.isNotNull() & (raw != "")}
+    value, given = at["value"], at["given"]
+    at = yield {"low": F.lower(value)}
+    low = at["low"]
     exact = F.when(value.isin(*dictionary), value) if dictionary else F.lit(None).cast("string")
     first: dict[str, str] = {}
     for c in dictionary:
@@ -184,13 +203,16 @@ def city(raw: Column, dictionary: list[str]) -> Column:
             return F.lit(None).cast("string")
         return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[low]
 
-    by_case, alias, near = lookup(first), lookup(CITY_ALIASES), nearest(low, dictionary)
-    looks = value.rlike(ADDRESS)
+    near = yield from nearest.steps(low, dictionary)
+    at = yield {"exact": exact, "by_case": lookup(first), "alias": lookup(CITY_ALIASES), "near": near, "looks": value.rlike(ADDRESS)}
+    exact, by_case, alias, near, looks = (at[k] for k in ("exact", "by_case", "alias", "near", "looks"))
     way = (
         F.when(~given, "city_missing").when(exact.isNotNull(), "").when(by_case.isNotNull(), "city_case_mismatch").when(alias.isNotNull(), "city_alias_or_translit")
         .when(looks, "city_looks_like_address").when(near.isNotNull(), "city_typo_fixed").otherwise("city_unknown")
     )
-    key = F.when(given & ((way != "city_looks_like_address")), F.coalesce(exact, by_case, alias, near))
+    at = yield {"way": way}
+    way = at["way"]
+    key = F.when(given & (way != "city_looks_like_address"), F.coalesce(exact, by_case, alias, near))
     found = F.array_compact(F.array(F.when(given & (value != raw), "city_whitespace"), F.when(way != "", way)))
     return F.struct(F.when(given & (way != "city_looks_like_address"), value).alias("city"), key.alias("key"), found.alias("issues"))
 

@@ -9,11 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .constants import EMPTY_MARKERS, LEGAL_FORMS, QUOTES, SPACES
+from .constants import BROKEN_PAIR, EMPTY_MARKERS, LEGAL_FORMS, QUOTES, SPACES
+from .steps import Steps, inline
 
 BLANK = f"[{SPACES}]"
-#: A capital letter that the first byte of a UTF-8 pair becomes, and what its second byte becomes.
-BROKEN_PAIR = r"[РСВТ][\u0098-¿Ђ-Џђ-џ–-™]"
 
 
 def strip(c: Column) -> Column:
@@ -30,10 +29,11 @@ def is_empty_marker(c: Column) -> Column:
     return F.lower(c).isin(*EMPTY_MARKERS)
 
 
-def clean(c: Column) -> Column:
+@inline
+def clean(c: Column) -> Steps:
     """The squeezed text, or null for a marker of a missing value."""
-    text = squeeze(c.cast("string"))
-    return F.when(~is_empty_marker(text), text)
+    at = yield {"text": squeeze(c.cast("string"))}
+    return F.when(~is_empty_marker(at["text"]), at["text"])
 
 
 def suspicion(c: Column) -> Column:
@@ -61,9 +61,11 @@ def _recoded(texts: pd.Series) -> pd.Series:
     return texts.map(recode, na_action="ignore")
 
 
-def repair(c: Column) -> Column:
+@inline
+def repair(c: Column) -> Steps:
     """Texts with suspicious pairs, recoded where that makes them better. Only such texts reach Python's result."""
-    return F.when(suspicion(c) > 0, _recoded(F.when(suspicion(c) > 0, c))).otherwise(c)
+    at = yield {"broken": suspicion(c) > 0}
+    return F.when(at["broken"], _recoded(F.when(at["broken"], c))).otherwise(c)
 
 
 def name_key(c: Column) -> Column:

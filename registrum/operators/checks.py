@@ -14,10 +14,11 @@ def envelope_problems(pages: DataFrame) -> DataFrame:
     each = sound.select("source_file", F.explode(F.array_compact(F.array(F.when(~F.coalesce(whole, F.lit(False)), F.concat(F.lit("page = "), F.coalesce("page", F.lit("null")))), F.when(~F.size("items").cast("string").eqNullSafe(F.col("per_page")), F.concat(F.lit("items = "), F.size("items"), F.lit(", per_page = "), F.coalesce("per_page", F.lit("null"))))))).alias("problem"))
     none = pages.filter("items is null").select("source_file", F.lit("no items array").alias("problem"))
     totals = sound.agg(F.sort_array(F.collect_set("total")).alias("t")).filter(F.size("t") > 1).select(F.lit(None).cast("string").alias("source_file"), F.concat(F.lit("totals differ: "), F.array_join("t", ", ")).alias("problem"))
-    # One row per page file, a short list.
-    numbered = sound.select(F.col("page").try_cast("long").alias("n")).withColumn("k", F.row_number().over(W.orderBy("n")))
-    broken = numbered.filter(~F.col("n").eqNullSafe(F.col("k").cast("long"))).agg(F.min_by("n", "k").alias("n"), F.count("*").alias("c")).filter("c > 0")
-    gap = broken.select(F.lit(None).cast("string").alias("source_file"), F.concat(F.lit("page numbers break near "), F.coalesce(F.col("n").cast("string"), F.lit("null"))).alias("problem"))
+    # Numbers are 1 to n if they are whole, differ, and the least is 1 and the greatest n; no order over all pages is needed.
+    number = sound.select(F.col("page").try_cast("long").alias("n"))
+    ends = number.agg(F.count("*").alias("c"), F.count_distinct("n").alias("d"), F.min("n").alias("low"), F.max("n").alias("high"))
+    broken = ends.filter("c > 0 and not (c = d and low = 1 and high = c)")
+    gap = broken.select(F.lit(None).cast("string").alias("source_file"), F.concat_ws("", F.lit("page numbers are not 1 to "), F.col("c").cast("string")).alias("problem"))
     return none.unionByName(each).unionByName(totals).unionByName(gap)
 
 
@@ -34,7 +35,11 @@ def gaps(df: DataFrame, number: str) -> DataFrame:
     last = spans.groupBy("span").agg(F.max("n").alias("top")).withColumn("before", F.coalesce(F.max("top").over(W.orderBy("span").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     inside = spans.withColumn("low", F.lag("n").over(W.partitionBy("span").orderBy("n"))).join(last.select("span", "before"), "span")
     edges = inside.select(F.coalesce("low", "before").alias("low"), "n").filter("n - low > 1")
-    return edges.select(F.explode(F.sequence(F.col("low") + 1, F.col("n") - 1)).alias("missing"))
+    # A gap is cut into parts of a million numbers, each of which becomes rows by itself.
+    starts = edges.select((F.col("low") + 1).alias("a"), (F.col("n") - 1).alias("b"))
+    starts = starts.select("b", F.col("a"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(b - a) div 1000000"))).alias("k"))
+    starts = starts.select((F.col("a") + F.col("k") * 1_000_000).alias("a"), F.least("b", F.col("a") + (F.col("k") + 1) * 1_000_000 - 1).alias("b"))
+    return starts.select(F.explode(F.sequence("a", "b")).alias("missing"))
 
 
 def first_seen(df: DataFrame, value: str, *order: str) -> DataFrame:

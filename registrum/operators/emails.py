@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.email import candidates, final_verdict, interpret_smtp, mail_domain, offline_verdict
+from ..functions.steps import staged
 
 
 def derive(companies: DataFrame) -> DataFrame:
     """external_id, domain, verdict: three addresses per company with a domain, judged by themselves."""
     sites = companies.filter("site is not null").select("external_id", mail_domain(F.col("site")).alias("domain")).filter("domain is not null")
-    return sites.select("external_id", "domain", F.explode(candidates(F.col("domain"))).alias("e")).select("external_id", "domain", offline_verdict(F.col("e")).alias("verdict"))
+    each = sites.select("external_id", "domain", F.explode(candidates(F.col("domain"))).alias("e"))
+    each, at = staged(each, verdict=offline_verdict.steps(F.col("e")))
+    return each.select("external_id", "domain", at["verdict"].alias("verdict"))
 
 
 def domains_to_ask(derived: DataFrame) -> DataFrame:
@@ -29,8 +32,8 @@ def judge(derived: DataFrame, domain_facts: DataFrame, smtp_facts: DataFrame | N
     else:
         answers = smtp_facts.select(F.col("email").alias("s_email"), interpret_smtp(F.col("real"), F.col("control")).alias("smtp"))
         j = j.join(answers, F.col("verdict.normalized") == F.col("s_email"), "left")
-    final = final_verdict(F.col("verdict"), F.col("has_mx"), F.col("existence"), F.col("smtp"))
-    out = j.withColumn("final", final).select("external_id", F.col("verdict.normalized").alias("email"), F.col("verdict.local_part").alias("local_part"), F.col("verdict.domain").alias("domain"), F.lit("derived_from_site").alias("source"), F.col("final.status").alias("status"), F.col("final.stage_failed").alias("stage_failed"), F.col("final.issues").alias("issues"))
+    j, at = staged(j, final=final_verdict.steps(F.col("verdict"), F.col("has_mx"), F.col("existence"), F.col("smtp")))
+    out = j.withColumn("final", at["final"]).select("external_id", F.col("verdict.normalized").alias("email"), F.col("verdict.local_part").alias("local_part"), F.col("verdict.domain").alias("domain"), F.lit("derived_from_site").alias("source"), F.col("final.status").alias("status"), F.col("final.stage_failed").alias("stage_failed"), F.col("final.issues").alias("issues"))
     return out.dropDuplicates(["external_id", "email"])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fields as fn
 from ..functions.constants import RAW_FIELDS
+from ..functions.steps import staged
 from ..functions.text import clean, name_key, repair, strip
 
 COMPANY = ("external_id", "name", "name_key", "category", "city", "city_key", "address", "rating", "reviews_count", "site", "phone", "phone_e164")
@@ -25,15 +26,20 @@ def normalize(rows: DataFrame, cities: list[str]) -> DataFrame:
     cities: known spellings, a small dimension, in the order that settles ties of the nearest one.
     """
     r = rows.select("*", *[F.col("fields")[f].alias(f"_{f}") for f in RAW_FIELDS])
-    r = r.withColumns({"_id": clean(F.col("_id")), "_name0": clean(F.col("_name")), "_category0": clean(F.col("_category")), "_city0": clean(F.col("_city")), "_address0": clean(F.col("_address"))})
-    r = r.withColumns({f"_{f}1": repair(F.col(f"_{f}0")) for f in ("name", "category", "city", "address")})
-    r = r.withColumns({
-        "_town": fn.city(F.col("_city1"), cities),
-        "_rate": fn.rating(F.col("_rating"), F.col("rating_is_number")),
-        "_count": fn.reviews(F.col("_reviews_count"), F.col("reviews_is_number")),
-        "_web": fn.site(F.col("_site")),
-        "_tel": fn.phone(F.col("_phone")),
-    })
+    texts = ("name", "category", "city", "address")
+    r, at = staged(r, **{f"c_{f}": clean.steps(F.col(f"_{f}")) for f in ("id", *texts)})
+    r = r.withColumns({"_id": at["c_id"], **{f"_{f}0": at[f"c_{f}"] for f in texts}})
+    r, at = staged(r, **{f"r_{f}": repair.steps(F.col(f"_{f}0")) for f in texts})
+    r = r.withColumns({f"_{f}1": at[f"r_{f}"] for f in texts})
+    r, at = staged(
+        r,
+        town=fn.city.steps(F.col("_city1"), cities),
+        rate=fn.rating.steps(F.col("_rating"), F.col("rating_is_number")),
+        count=fn.reviews.steps(F.col("_reviews_count"), F.col("reviews_is_number")),
+        web=fn.site.steps(F.col("_site")),
+        tel=fn.phone.steps(F.col("_phone")),
+    )
+    r = r.withColumns({f"_{k}": c for k, c in at.items()})
     odd_id = ~F.col("_id").rlike(r"^c_[0-9]{6}\z")
     rated, counted = F.col("_rate.value"), F.col("_count.value")
     every = F.concat(

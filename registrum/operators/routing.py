@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +52,17 @@ def merge(companies: DataFrame, incoming: DataFrame, source: str, now: Column) -
     return after.select(*companies.columns), actions
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The same rows, computed once, in the folder that spark.checkpoint.dir names; in local mode a temporary one where it is unset."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        at = context.getConf().get("spark.checkpoint.dir")
+        if not at and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(at or "file://" + tempfile.mkdtemp(prefix="registrum-"))
+    return df.checkpoint()
+
+
 @dataclass
 class Routed:
     """rows: source_file, source_row, external_id, raw, status, issues, stat_issues, action; the other tables after the load."""
@@ -84,14 +97,15 @@ def route_pages(rows: DataFrame, companies: DataFrame, source: str, now: Column)
     return Routed(_finish(tagged.drop("first_row", "is_first").unionByName(rejected), actions), after)
 
 
-def route_csv(rows: DataFrame, companies: DataFrame, source: str, now: Column, settle=lambda df: df.checkpoint()) -> Routed:
+def route_csv(rows: DataFrame, companies: DataFrame, source: str, now: Column, settle: Callable[[DataFrame], DataFrame] | None = None) -> Routed:
     """rows: normalized records of a CSV file with reason and blank.
 
     A row looks for its duplicates among the companies as they are at its line, with what earlier admitted rows of the file have added
     or changed. Whether a row is admitted hangs on its own strong hits, which only point to earlier lines. So all possible hits are joined
     once, and admission is settled by rounds over these few pairs until nothing changes; each round decides at least one more link
-    of the longest chain of strong hits. settle cuts the lineage of a round.
+    of the longest chain of strong hits. settle computes a step once and cuts its lineage; by default checkpoint() does.
     """
+    settle = settle or kept
     if companies.isEmpty():
         raise ValueError("there are no companies yet: load the pages first")
     none = F.array().cast("array<string>")
@@ -143,13 +157,16 @@ def route_csv(rows: DataFrame, companies: DataFrame, source: str, now: Column, s
 
 def run_stats(routed: DataFrame, files: int, candidates: int = 0) -> dict:
     """The counts of a load, by one aggregate over its rows and one over their issues. Rows that end as duplicates count as unchanged."""
-    r = routed.agg(
+    counts = routed.agg(
         F.count("*").alias("rowsRead"),
         F.count_if(F.col("action") == "inserted").alias("inserted"),
         F.count_if(F.col("action") == "updated").alias("updated"),
         F.count_if((F.col("action") == "unchanged") | (F.col("status") == "duplicate")).alias("unchanged"),
         F.count_if(F.col("status") == "quarantined").alias("quarantined"),
         F.count_if(F.col("status") == "rejected").alias("rejected"),
-    ).first()
-    found = routed.select(F.explode("stat_issues").alias("i")).groupBy("i").count().collect()
-    return {"files": files, **r.asDict(), "duplicateCandidates": candidates, "issues": {x["i"]: x["count"] for x in sorted(found, key=lambda x: x["i"])}}
+    )
+    names = counts.columns
+    found = routed.select(F.explode("stat_issues").alias("i")).groupBy("i").count()
+    both = counts.select(F.lit(None).cast("string").alias("i"), F.array(*names).alias("n")).unionByName(found.select("i", F.array("count").alias("n"))).collect()
+    r = next(dict(zip(names, x.n, strict=True)) for x in both if x.i is None)
+    return {"files": files, **r, "duplicateCandidates": candidates, "issues": {x.i: x.n[0] for x in sorted((x for x in both if x.i is not None), key=lambda x: x.i)}}

@@ -41,6 +41,7 @@ def search(companies: DataFrame, text: str | None = None, city: str | None = Non
     """Companies whose name has the text in any case, of a city and a category where given; the best rated first and unrated ones last, among
     equals those with unknown counts of reviews before the most reviewed. A page beyond the last is the last."""
     found = companies
+    text, city, category = (x.strip() if x else None for x in (text, city, category))
     if text:
         found = found.filter(F.col("name").ilike(f"%{escape_like(text)}%"))
     if city:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,43 +16,7 @@ from .plans.search import escape_like
 from .sources.named_sql import split_queries
 from .sources.network import best_mx
 from .sources.registry import upsert
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-class Tables:
-    """The tables of a folder, by attribute."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    def sql(self, text: str, *names: str, **args) -> DataFrame:
-        """A query over {name} tables."""
-        return self.spark.sql(text, args or None, **{n: getattr(self, n) for n in names})
-
-
-def query(name: str, sql: str | None = None):
-    def add(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[name] = lambda spark, folder: f(Tables(spark, folder))
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return add
-
-
-def both(name: str, sql: str, *names: str) -> None:
-    """A query whose text is the same for both engines. {name} stands for a table."""
-
-    @query(name, sql.format(**{n: n for n in names}))
-    def _(t: Tables) -> DataFrame:
-        return t.sql(sql, *names)
-
+from .tables import ORACLES, QUERIES, Tables, both, query
 
 # Analytic queries
 
@@ -152,7 +114,12 @@ def membership(t: Tables) -> DataFrame:
 
 
 both("p11_distinct_from", "SELECT n.n_nationkey, m.label IS DISTINCT FROM 'two' AS differs FROM {nation} n LEFT JOIN (VALUES (1, 'one'), (2, 'two')) AS m (code, label) ON m.code = n.n_regionkey", "nation")
-both("p12_self_exclusion", "SELECT a.s_suppkey AS a, b.s_suppkey AS b FROM {supplier} a JOIN {supplier} b ON a.s_nationkey = b.s_nationkey WHERE a.s_suppkey <> b.s_suppkey", "supplier")
+both(
+    "p12_self_exclusion",
+    """SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM {orders} a JOIN {orders} b ON a.o_custkey = b.o_custkey AND a.o_orderdate = b.o_orderdate
+       WHERE a.o_orderkey <> b.o_orderkey""",
+    "orders",
+)
 both("p14_equality", "SELECT o_orderkey FROM {orders} WHERE o_orderstatus = 'P'", "orders")
 both("p15_boolean_key", "SELECT o_totalprice > 200000 AS big, o_orderstatus AS status, count(*) AS orders FROM {orders} GROUP BY 1, 2", "orders")
 both("p16_constants", "SELECT 'orders' AS metric, CAST(count(*) AS VARCHAR(20)) AS value, 'all' AS note FROM {orders}", "orders")
@@ -171,9 +138,9 @@ both("j4_correlated_scalar", "SELECT n.n_nationkey, coalesce((SELECT CAST(count(
 both("j5_scalar_subquery", "SELECT c_mktsegment, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM {customer}) AS share FROM {customer} GROUP BY c_mktsegment", "customer")
 
 
-@query("j6_lateral_unnest", "SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(string_split(substr(text, 1, 200), ' ')) AS word FROM documents) x GROUP BY lang, word")
+@query("j6_lateral_unnest", "SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(string_split(text, ' ')) AS word FROM documents) x GROUP BY lang, word")
 def unnest(t: Tables) -> DataFrame:
-    return t.documents.select("lang", F.explode(F.split(F.substring("text", 1, 200), " ")).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    return t.documents.select("lang", F.explode(F.split("text", " ")).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
 
 
 def people(t: Tables) -> DataFrame:
@@ -254,33 +221,16 @@ both("a16_nested", "WITH s AS (SELECT o_custkey, count(*) AS n FROM {orders} GRO
 both("a17_frequency", "SELECT event_type, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM {events}) AS share FROM {events} GROUP BY event_type", "events")
 
 
-@query("a18_expectation", """WITH f AS (SELECT n_regionkey AS r, count(*) AS hits FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY n_regionkey), n AS (SELECT count(*) AS c FROM customer)
-  SELECT CAST(round(100.0 * sum(hits * hits) / (SELECT c * c FROM n), 1) AS DOUBLE) AS expected_percent FROM f""")
-def expectation(t: Tables) -> DataFrame:
-    by = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey").agg(F.count("*").alias("hits"))
-    total = t.customer.agg(F.count("*").alias("c"))
-    return by.agg(F.sum(F.col("hits") * F.col("hits")).alias("s")).crossJoin(total).select(F.round(100.0 * F.col("s") / (F.col("c") * F.col("c")), 1).alias("expected_percent"))
-
-
 @query("a19_histogram", "SELECT issue, count(*) AS rows FROM (SELECT unnest(string_split(p_type, ' ')) AS issue FROM part) x GROUP BY issue")
 def histogram(t: Tables) -> DataFrame:
     return checks.issue_histogram(t.part.select(F.split("p_type", " ").alias("issues")))
 
 
-both("a20_run_statistics", "SELECT count(*) AS rows_read, count(*) FILTER (WHERE o_orderstatus = 'O') AS inserted, count(*) FILTER (WHERE o_orderstatus = 'F') AS updated, count(*) FILTER (WHERE o_orderstatus = 'P') AS unchanged FROM {orders}", "orders")
-
-
 @query("a21_repeated", "SELECT user_id, count(*) AS rows FROM events GROUP BY user_id HAVING count(*) > 1")
 def repeated(t: Tables) -> DataFrame:
     return checks.repeated(t.events, "user_id")
 
 
-@query("a22_envelope_checks", "SELECT CASE WHEN count(*) FILTER (WHERE k <> s_suppkey) > 0 THEN 'break' ELSE 'whole' END AS numbering FROM (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS k FROM supplier) x")
-def envelope(t: Tables) -> DataFrame:
-    pages = t.supplier.select(F.col("s_name").alias("source_file"), F.col("s_suppkey").cast("string").alias("page"), F.lit("1").alias("per_page"), F.lit("9").alias("total"), F.array("s_name").alias("items"))
-    return checks.envelope_problems(pages).agg(F.when(F.count("*") > 0, "break").otherwise("whole").alias("numbering"))
-
-
 both("a23_counters", "SELECT o_orderstatus AS status, o_orderpriority AS stage, count(*) AS n FROM {orders} GROUP BY o_orderstatus, o_orderpriority", "orders")
 
 # Order, limits, sets
@@ -328,11 +278,6 @@ def cleaned(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", F.lower(clean(messy)).alias("cleaned"))
 
 
-@query("f2_suspicion", "SELECT doc_id, CAST(len(regexp_extract_all(text, '[РСВТ][°±Ѓѓ–—]')) AS INTEGER) AS pairs FROM documents")
-def suspicious(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.coalesce(suspicion(F.col("text")), F.lit(0)).alias("pairs"))
-
-
 @query("f4_name_key", "SELECT s_suppkey, lower(s_name) AS key FROM supplier")
 def keys(t: Tables) -> DataFrame:
     form = F.element_at(F.array(F.lit("ООО «"), F.lit("АО \""), F.lit("ип. "), F.lit("")), (F.col("s_suppkey") % 4 + 1).cast("int"))
@@ -423,22 +368,6 @@ def joined(t: Tables) -> DataFrame:
 both("f26_casts", "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,1)) AS DOUBLE) AS tenths, CAST(o_custkey AS VARCHAR(20)) AS customer FROM {orders}", "orders")
 both("f27_same_value", "SELECT d.doc_id, l.quality IS NOT DISTINCT FROM l.toxic AS same FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id", "documents", "labels")
 
-# Merge of a delta into what is known: two thirds of the orders are known, all but a tenth come again, some with another status.
-
-@query("u1_merge_actions", """WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_totalprice AS p FROM orders WHERE o_orderkey % 3 <> 0),
-  n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS s, CASE WHEN o_orderkey % 11 = 0 THEN 0.0::DOUBLE ELSE o_totalprice END AS p FROM orders WHERE o_orderkey % 10 <> 0)
-  SELECT coalesce(o.k, n.k) AS k, coalesce(n.s, o.s) AS s, coalesce(n.p, o.p) AS p,
-    CASE WHEN o.k IS NULL THEN 'inserted' WHEN n.k IS NULL THEN NULL WHEN coalesce(n.s, o.s) IS NOT DISTINCT FROM o.s AND coalesce(n.p, o.p) IS NOT DISTINCT FROM o.p THEN 'unchanged' ELSE 'updated' END AS action
-  FROM o FULL OUTER JOIN n ON o.k = n.k""")
-def merge_actions(t: Tables) -> DataFrame:
-    k = F.col("o_orderkey")
-    o = t.orders.filter(k % 3 != 0).select(k.alias("ok"), F.col("o_orderstatus").alias("os"), F.col("o_totalprice").alias("op"))
-    n = t.orders.filter(k % 10 != 0).select(k.alias("nk"), F.when(k % 5 == 0, None).when(k % 7 == 0, "X").otherwise(F.col("o_orderstatus")).alias("ns"), F.when(k % 11 == 0, 0.0).otherwise(F.col("o_totalprice")).alias("np"))
-    j = o.join(n, F.col("ok") == F.col("nk"), "full_outer").select(F.coalesce("ok", "nk").alias("k"), F.coalesce("ns", "os").alias("s"), F.coalesce("np", "op").alias("p"), "ok", "nk", "os", "op")
-    same = F.col("s").eqNullSafe(F.col("os")) & F.col("p").eqNullSafe(F.col("op"))
-    return j.select("k", "s", "p", F.when(F.col("ok").isNull(), "inserted").when(F.col("nk").isNull(), None).when(same, "unchanged").otherwise("updated").alias("action"))
-
-
 @query("k4_upsert", "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 10 <> 0 THEN 'new' ELSE 'old' END AS v FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 10 <> 0")
 def upserted(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
@@ -519,7 +448,7 @@ def final(t: Tables) -> DataFrame:
     return judge(derive(shops(t)), shop_facts(t)).select("external_id", "email", "status", "stage_failed", F.array_join("issues", ",").alias("issues"))
 
 
-@query("e12_counters", f"WITH {SHOPS}, j AS (SELECT CASE WHEN k % 5 IN (1, 2) THEN 'rejected' ELSE 'unknown' END AS status, CASE WHEN k % 5 IN (1, 2) THEN 'mx' END AS stage FROM c) SELECT 'status' AS kind, status AS name, count(*) AS rows FROM j GROUP BY status UNION ALL SELECT 'stage', stage, count(*) FROM j WHERE stage IS NOT NULL GROUP BY stage")
+@query("a23_email_counters", f"WITH {SHOPS}, j AS (SELECT CASE WHEN k % 5 IN (1, 2) THEN 'rejected' ELSE 'unknown' END AS status, CASE WHEN k % 5 IN (1, 2) THEN 'mx' END AS stage FROM c) SELECT 'status' AS kind, status AS name, count(*) AS rows FROM j GROUP BY status UNION ALL SELECT 'stage', stage, count(*) FROM j WHERE stage IS NOT NULL GROUP BY stage")
 def email_counters(t: Tables) -> DataFrame:
     return counters(judge(derive(shops(t)), shop_facts(t)))
 
@@ -529,3 +458,7 @@ def in_text(t: Tables) -> DataFrame:
     return t.documents.filter(F.col("text").contains("@")).select("doc_id", F.regexp_extract("text", "[A-Za-z0-9._-]+@[A-Za-z0-9.-]+", 0).alias("email"))
 
 
+# Queries over company-shaped rows, which register themselves.
+from . import company_queries  # noqa: E402, F401
+
+__all__ = ["ORACLES", "QUERIES"]

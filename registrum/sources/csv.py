@@ -64,7 +64,13 @@ def parse(text: str) -> tuple[list[str], list[tuple[int, list[str], str | None]]
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """source_file, source_row (physical line), header, values, reason (null for sound records)."""
+    """source_file, source_row (physical line), header, values, reason (null for sound records). A file has 2 GB at most and is held by one task."""
+    files = spark.read.format("binaryFile").load(path)
+    return split_files(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"))
+
+
+def split_files(files: DataFrame) -> DataFrame:
+    """As read_csv(), of files (name, content) that are in a table."""
 
     def split(batches):
         for b in batches:
@@ -76,8 +82,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
                     kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["source_file", "source_row", "header", "values", "reason"])
 
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    return files.mapInArrow(split, "source_file string, source_row int, header array<string>, values array<string>, reason string")
+    return files.select("name", "content").mapInArrow(split, "source_file string, source_row int, header array<string>, values array<string>, reason string")
 
 
 def csv_rows(found: DataFrame) -> DataFrame:

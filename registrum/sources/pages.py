@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,17 @@ ENVELOPE = "page string, per_page string, total string, items array<string>"
 
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """source_file, page, per_page, total, items (JSON texts; null where a file has no array), a row per file. Raises if no file fits the pattern."""
-    found = spark.read.schema(ENVELOPE).option("multiLine", True).json(f"{folder.rstrip('/')}/page_*.json")
-    pages = found.select(F.col("_metadata.file_name").alias("source_file"), "*").filter(F.col("source_file").rlike(r"^page_[0-9]+\.json$"))
-    if pages.isEmpty():
+    files = page_files(spark, folder)
+    if not files:
         raise FileNotFoundError(f"no pages in {folder}")
-    return pages
+    return spark.read.schema(ENVELOPE).option("multiLine", True).json(files).select(F.col("_metadata.file_name").alias("source_file"), "*")
+
+
+def page_files(spark: SparkSession, folder: str) -> list[str]:
+    """The paths of the pages in a folder, in the order of their names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/page_*.json")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
+    return sorted(f.getPath().toString() for f in found if re.fullmatch(r"page_[0-9]+\.json", f.getPath().getName()))
 
 
 def is_number(raw: Column, field: str) -> Column:

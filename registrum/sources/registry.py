@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
+import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,9 +36,14 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str], keep: tuple[str, ...]
     return old.join(new.select(*key).distinct(), key, "left_anti").select(*old.columns).unionByName(new.select(*old.columns))
 
 
+class Conflict(RuntimeError):
+    """Another load was first."""
+
+
 class Registry:
-    """Tables under root. A pointer file names the version of each; commit() writes new versions and then replaces the pointer, so a load
-    that fails midway changes nothing that readers see."""
+    """Tables under root. A pointer names the version of each; commit() writes new versions and then gives the next pointer its number, so a load
+    that fails midway changes nothing that readers see. The number must be free: of two loads that began with the same pointer the second raises
+    Conflict and has to be run again on what the first has left. Steps of a load are kept under root while it runs."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -44,28 +53,44 @@ class Registry:
     def _path(self, at: str):
         return self._jvm.org.apache.hadoop.fs.Path(at)
 
-    def _pointer(self) -> dict[str, str]:
-        at = self._path(f"{self.root}/current.json")
+    def version(self) -> int:
+        """The number of the newest pointer; 0 before the first."""
+        at = self._path(f"{self.root}/pointers")
         if not self._fs.exists(at):
+            return 0
+        return max([int(m[1]) for f in self._fs.listStatus(at) if (m := re.fullmatch(r"v([0-9]+)\.json", f.getPath().getName()))], default=0)
+
+    def _pointer(self, version: int | None = None) -> dict[str, str]:
+        version = self.version() if version is None else version
+        if not version:
             return {}
-        stream = self._fs.open(at)
+        stream = self._fs.open(self._path(f"{self.root}/pointers/v{version:08d}.json"))
         try:
             return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _point(self, to: dict[str, str]) -> None:
-        last, part = self._path(f"{self.root}/current.json"), self._path(f"{self.root}/.current-{uuid.uuid4().hex}")
+    def _point(self, to: dict[str, str], onto: int) -> None:
+        """Writes the pointer whole under another name and links or renames it to the number after onto, which fails if that is taken."""
+        last, part = self._path(f"{self.root}/pointers/v{onto + 1:08d}.json"), self._path(f"{self.root}/pointers/.part-{uuid.uuid4().hex}")
         out = self._fs.create(part, False)
         try:
             out.write(bytearray(json.dumps(to).encode()))
         finally:
             out.close()
-        options = self._jvm.org.apache.hadoop.fs.Options.Rename
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        array = self.spark.sparkContext._gateway.new_array(options, 1)
-        array[0] = options.OVERWRITE
-        context.rename(self._fs.makeQualified(part), self._fs.makeQualified(last), array)
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                os.link(part.toUri().getPath(), last.toUri().getPath())
+            else:
+                context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+                options = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+                context.rename(self._fs.makeQualified(part), self._fs.makeQualified(last), options)
+        except (FileExistsError, Py4JJavaError) as e:
+            if not self._fs.exists(last):
+                raise
+            raise Conflict(f"another load has made version {onto + 1}") from e
+        finally:
+            self._fs.delete(part, False)
 
     def create(self) -> None:
         """Makes the tables that are not there yet, empty."""
@@ -78,51 +103,72 @@ class Registry:
         self.create()
         self.commit({t: self.spark.createDataFrame([], s) for t, s in SCHEMAS.items() if t not in SURVIVORS})
 
-    def table(self, name: str) -> DataFrame:
-        at = self._pointer().get(name)
+    def table(self, name: str, version: int | None = None) -> DataFrame:
+        at = self._pointer(version).get(name)
         return self.spark.createDataFrame([], SCHEMAS[name]) if at is None else self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{at}")
 
-    def commit(self, tables: dict[str, DataFrame]) -> None:
+    def commit(self, tables: dict[str, DataFrame], onto: int | None = None) -> None:
+        """Replaces tables, all at once. onto: the version that they were made from, by default the newest."""
         if not tables:
             return
-        pointer = self._pointer()
-        for name, df in tables.items():
-            pointer[name] = f"{name}/{uuid.uuid4().hex}"
-            df.write.parquet(f"{self.root}/{pointer[name]}")
-        self._point(pointer)
+        onto = self.version() if onto is None else onto
+        pointer = self._pointer(onto)
+        with ThreadPoolExecutor(len(tables)) as pool:  # the tables do not hang on each other
+            for name, df in tables.items():
+                pointer[name] = f"{name}/{uuid.uuid4().hex}"
+            list(pool.map(lambda x: x[1].write.parquet(f"{self.root}/{pointer[x[0]]}"), tables.items()))
+        self._point(pointer, onto)
+
+    def _step(self, df: DataFrame, folder: str) -> DataFrame:
+        """The same rows, computed once and kept under root."""
+        at = f"{folder}/{uuid.uuid4().hex}"
+        df.write.parquet(at)
+        return self.spark.read.schema(df.schema).parquet(at)
 
     def views(self) -> None:
         for name in SCHEMAS:
             self.table(name).createOrReplaceTempView(name)
 
-    def _load(self, source: str, route, files: int) -> dict:
+    def _load(self, source: str, normalized, route, files: int) -> dict:
+        """normalized: the rows of the load from a function that keeps steps; route: what becomes of them."""
         # The wall clock before and after, not the time of one query.
         began = datetime.now(timezone.utc)
-        runs, companies = self.table("import_runs"), self.table("companies")
-        run_id = (runs.agg(F.max("id")).first()[0] or 0) + 1
-        now = F.lit(began)
-        routed = route(companies, now)
-        rows = routed.rows.checkpoint()
-        candidates = routed.duplicates.checkpoint() if routed.duplicates is not None else None
-        stats = run_stats(rows, files, candidates.count() if candidates is not None else 0)
-        logged = rows.select(F.lit(run_id).cast("long").alias("run_id"), "source_file", "source_row", "external_id", "raw", "status", "issues")
-        new = {"companies": routed.companies, "import_rows": upsert(self.table("import_rows"), logged, ["source_file", "source_row"])}
-        if candidates is not None:
-            new["duplicate_candidates"] = upsert(self.table("duplicate_candidates"), candidates.withColumn("found_at", now), ["external_id", "duplicate_of", "match_reason"], ("found_at",))
-        run = self.spark.createDataFrame([(run_id, source, began, datetime.now(timezone.utc), json.dumps(stats, ensure_ascii=False))], SCHEMAS["import_runs"])
-        self.commit({**new, "import_runs": runs.unionByName(run)})
+        onto, steps = self.version(), f"{self.root}/steps-{uuid.uuid4().hex}"
+
+        def keep(df: DataFrame) -> DataFrame:
+            return self._step(df, steps)
+
+        try:
+            runs, companies = self.table("import_runs", onto), self.table("companies", onto)
+            run_id = (runs.agg(F.max("id")).first()[0] or 0) + 1
+            now = F.lit(began)
+            routed = route(keep(normalized(keep)), companies, now, keep)
+            rows = keep(routed.rows)
+            candidates = keep(routed.duplicates) if routed.duplicates is not None else None
+            stats = run_stats(rows, files, candidates.count() if candidates is not None else 0)
+            logged = rows.select(F.lit(run_id).cast("long").alias("run_id"), "source_file", "source_row", "external_id", "raw", "status", "issues")
+            new = {"companies": routed.companies, "import_rows": upsert(self.table("import_rows", onto), logged, ["source_file", "source_row"])}
+            if candidates is not None:
+                new["duplicate_candidates"] = upsert(self.table("duplicate_candidates", onto), candidates.withColumn("found_at", now), ["external_id", "duplicate_of", "match_reason"], ("found_at",))
+            run = self.spark.createDataFrame([(run_id, source, began, datetime.now(timezone.utc), json.dumps(stats, ensure_ascii=False))], SCHEMAS["import_runs"])
+            self.commit({**new, "import_runs": runs.unionByName(run)}, onto)
+        finally:
+            self._fs.delete(self._path(steps), True)
         return stats
 
     def load_pages(self, folder: str, source: str = "api_pages") -> dict:
         from ..operators.checks import first_seen
         from ..operators.normalize import normalize
-        from .pages import page_items, read_pages
+        from .pages import page_files, page_items, read_pages
 
         pages = read_pages(self.spark, folder)
-        items = page_items(pages)
-        seen = first_seen(items.select(F.trim(F.get_json_object("raw", "$.city")).alias("city"), "source_file", "source_row").filter("city <> ''"), "city", "source_file", "source_row")
-        cities = [r.city for r in seen.orderBy("first").collect()]
-        return self._load(source, lambda companies, now: route_pages(normalize(items, cities), companies, source, now), pages.count())
+
+        def normalized(keep) -> DataFrame:
+            items = keep(page_items(pages))
+            seen = first_seen(items.select(F.trim(F.col("fields")["city"]).alias("city"), "source_file", "source_row").filter("city <> ''"), "city", "source_file", "source_row")
+            return normalize(items, [r.city for r in sorted(seen.collect(), key=lambda r: r["first"])])
+
+        return self._load(source, normalized, lambda rows, companies, now, _: route_pages(rows, companies, source, now), len(page_files(self.spark, folder)))
 
     def load_csv(self, path: str, source: str = "review_csv") -> dict:
         from ..operators.normalize import normalize
@@ -131,7 +177,7 @@ class Registry:
         known = self.table("companies").select("city_key").filter("city_key is not null").distinct()
         cities = [r.city_key for r in known.orderBy("city_key").collect()]
         rows = csv_rows(read_csv(self.spark, path))
-        return self._load(source, lambda companies, now: route_csv(normalize(rows, cities), companies, source, now), 1)
+        return self._load(source, lambda _: normalize(rows, cities), lambda rows, companies, now, keep: route_csv(rows, companies, source, now, keep), 1)
 
     def replace_emails(self, judged: DataFrame) -> None:
         self.commit({"email_candidates": judged.withColumn("checked_at", F.current_timestamp())})

@@ -23,6 +23,6 @@ def start(registry: Registry, folder: str, checkpoint: str, cities: list[str], s
     def batch(pages: DataFrame, _: int) -> None:
         files = pages.count()
         if files:
-            registry._load(source, lambda companies, now: route_pages(normalize(page_items(pages), cities), companies, source, now), files)
+            registry._load(source, lambda _: normalize(page_items(pages), cities), lambda rows, companies, now, _: route_pages(rows, companies, source, now), files)
 
     return page_stream(registry, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

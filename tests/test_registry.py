@@ -11,7 +11,7 @@ from registrum.operators.emails import derive, judge
 from registrum.plans import analytics
 from registrum.sources.network import DOMAIN_FACTS
 from registrum.sources.pages import page_items, read_pages
-from registrum.sources.registry import Registry
+from registrum.sources.registry import Conflict, Registry
 from registrum.streaming.ingest import start
 
 
@@ -90,16 +90,15 @@ def test_nulls_do_not_replace_values_but_zeros_do(loaded):
     assert (c.category, c.city_key, c.reviews_count, float(c.rating), c.source, c.source_file, c.source_row) == ("Логистика", "Москва", 3, 4.4, "api_pages", "review.csv", 12)
 
 
-def test_report(loaded, spark):
+def test_report(loaded):
     r, *_ = loaded
-    r.views()
-    got = {k: df.collect() for k, df in analytics.report(spark).items()}
+    got = {k: df.collect() for k, df in analytics.report(r.table).items()}
     assert len(got["runs"]) == 3 and {x.source: x.runs for x in got["runs_by_source"]} == {"api_pages": 2, "review_csv": 1}
     assert {x.metric: x.value for x in got["reconciliation"]}["companies"] == "7" and len(got["reconciliation"]) == 19
     assert [x.csv_line for x in got["quarantine"]] == [4, 5, 6, 8]
-    assert got["codes_against_cities"][0].landline == 6 and got["expected_matches"][0].landlines == 6
-    for name, sql in analytics.QUERIES.items():
-        assert spark.sql(sql).count() >= 1, name
+    assert got["codes_and_cities"][0].landline == 6 and got["chance_matches"][0].landlines == 6
+    for name, plan in analytics.QUERIES.items():
+        assert plan(r.table("companies")).count() >= 1, name
 
 
 def test_emails(loaded, spark):
@@ -129,10 +128,21 @@ def test_reset_keeps_emails(spark, tmp_path):
 def test_a_failed_load_changes_nothing(spark, tmp_path, monkeypatch):
     r = Registry(spark, f"file://{tmp_path}/t")
     r.create()
-    monkeypatch.setattr(r, "_point", lambda to: 1 / 0)
+    monkeypatch.setattr(r, "_point", lambda to, onto: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         r.load_pages(write_pages(tmp_path / "p", PAGES[0]))
     assert r.table("companies").count() == 0 and r.table("import_runs").count() == 0
+    assert not list(tmp_path.glob("t/steps-*"))
+
+
+def test_the_second_of_two_loads_is_refused(spark, tmp_path):
+    r = Registry(spark, f"file://{tmp_path}/t")
+    r.create()
+    empty = {"companies": r.table("companies")}
+    r.commit(empty, 1)
+    with pytest.raises(Conflict):
+        r.commit(empty, 1)
+    assert r.version() == 2
 
 
 def test_stream(spark, tmp_path):
@@ -151,7 +161,7 @@ def test_envelope_checks(spark, tmp_path):
         (folder / f"page_{n}.json").write_text(json.dumps(body))
     pages = read_pages(spark, str(folder))
     got = {(r.source_file, r.problem) for r in checks.envelope_problems(pages).collect()}
-    assert got == {("page_4.json", "no items array"), ("page_3.json", "page = x"), ("page_2.json", "items = 1, per_page = 2"), (None, "totals differ: 2, 3"), (None, "page numbers break near null")}
+    assert got == {("page_4.json", "no items array"), ("page_3.json", "page = x"), ("page_2.json", "items = 1, per_page = 2"), (None, "totals differ: 2, 3"), (None, "page numbers are not 1 to 3")}
     assert page_items(pages).count() == 2
     with pytest.raises(Exception):  # noqa: B017
         read_pages(spark, str(tmp_path / "none"))
