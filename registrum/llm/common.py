@@ -240,3 +240,24 @@ class Beside:
             return None
         lo, hi = self.rows.searchsorted(row, "left"), self.rows.searchsorted(row, "right")
         return {c: x[lo:hi] for c, x in self.table.items()} if hi > lo else None
+
+
+def bit_map(keys: DataFrame, column: str, least: int = 1 << 20, most: int = 1 << 30) -> bytes:
+    """The low bits of a long column as a map of sixteen bits a key, a power of two between least and most: 128 MB at most, however many keys."""
+    size = least
+    while size < min(most, 16 * keys.count()):
+        size *= 2
+    place = F.col(column).bitwiseAND(F.lit(size - 1)) + 1
+    parts = keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m")).collect()
+    out = bytearray(size // 8)
+    for r in parts:
+        out[(r.b - 1) * 4096 : r.b * 4096] = r.m
+    return bytes(out)
+
+
+def in_map(bits: bytes, keys):
+    """Which of an array of 64-bit keys may be in the map; those that were put in it all are."""
+    import numpy as np
+
+    at = keys.view("u8") & np.uint64(len(bits) * 8 - 1)
+    return (np.frombuffer(bits, "u1")[(at >> np.uint64(3)).astype("i8")] >> (at & np.uint64(7)).astype("u1")) & 1 > 0

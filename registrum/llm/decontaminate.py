@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from fractions import Fraction
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -11,164 +10,250 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, need, small_batches
+from .common import Beside, beside, bit_map, free_name, in_map, need, numbered, sliced, written
+from .segments import BASE, powers
 
 #: Where a mask has 0, the word there may differ. The last has a seed in each run of 13 equal words or more with s others that are at
 #: most a fifth: 13 or 4 s equal words fall into s + 1 stretches, so one of these has four.
 MASKS = ("110110101011", "1110010110111", "101101110011", "11101101", "1111")
+#: Of items that are shorter than a mask: all their words.
+WHOLE = tuple("1" * n for n in range(1, min(map(len, MASKS))))
 #: Of texts in lower case: ASCII marks to spaces. What is left between spaces is a word.
 TABLE = bytes(ord(c.lower()) if (c := chr(i)).isalnum() and i < 128 else i if i >= 128 else 32 for i in range(256))
 FACTORS = np.random.default_rng(20).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bytes whose words are hashed at once, and copies of the benchmark's side of a join, among which rows of a common seed or item are dealt.
+CHUNK, SALT = 2 << 20, 8
+
+_up, _down = powers(BASE, 1), powers(BASE, 1)
 
 
 def plain_words(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(TABLE).split() if text else []
+    return plain(text).split()
+
+
+def plain(text: str | None) -> bytes:
+    return text.lower().encode("utf-8", "surrogatepass").translate(TABLE) if text else b""
+
+
+def hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, places) of the words of plain() bytes. A word's hash depends on its bytes alone."""
+    global _up, _down
+    if len(data) > len(_up):
+        _up, _down = powers(BASE, len(data)), powers(pow(BASE, -1, 1 << 64), len(data))
+    raw = np.frombuffer(data, "u1")
+    ink = np.concatenate([[False], raw != 32, [False]])
+    first, stop = np.flatnonzero(ink[1:] & ~ink[:-1]), np.flatnonzero(ink[:-1] & ~ink[1:])
+    total = np.zeros(len(raw) + 1, "u8")
+    np.cumsum((raw.astype("u8") + np.uint64(1)) * _up[: len(raw)], out=total[1:])
+    h = (total[stop] - total[first]) * _down[first] if len(first) else np.zeros(0, "u8")
+    h = (h ^ h >> np.uint64(32)) * FACTORS[63]
+    return h ^ h >> np.uint64(29), first
+
 
+def hash_words(texts: list[str | None]) -> list[np.ndarray]:
+    """The hashes of each text's words."""
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    held: list[tuple[int, bytes]] = []
 
-def seed_places(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) where all words under the mask are known (id 0 or more)."""
+    def flush() -> None:
+        h, places = hashed(b" ".join(x for _, x in held))
+        ends = np.searchsorted(places, np.cumsum([len(x) + 1 for _, x in held]), "left")
+        for (k, _), a, b in zip(held, np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True):
+            out[k].append(h[a:b])
+        held.clear()
+
+    room = CHUNK
+    for k, text in enumerate(texts):
+        raw, at = plain(text), 0
+        while at < len(raw) or not at:  # a text beyond CHUNK is cut at spaces
+            end = len(raw) if len(raw) - at <= CHUNK else raw.find(b" ", at + CHUNK)
+            end = len(raw) if end < 0 else end
+            held.append((k, raw[at:end]))
+            room -= end - at + 1
+            at = end + 1
+            if room <= 0:
+                flush()
+                room = CHUNK
+    if held:
+        flush()
+    return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
+
+
+def seed_places(words: np.ndarray, mask: str, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) where all words under the mask are known."""
     span, offsets = len(mask), [k for k, c in enumerate(mask) if c == "1"]
-    if len(ids) < span:
+    if len(words) < span:
         return np.zeros(0, "i8"), np.zeros(0, "u8")
-    known = ids >= 0
-    at = np.flatnonzero(known[: len(ids) - span + 1])
+    at = np.flatnonzero(known[: len(words) - span + 1])
     for o in offsets[1:]:
         at = at[known[at + o]]
-    h = np.zeros(len(at), "u8")
+    h = np.full(len(at), span, "u8")
     for k, o in enumerate(offsets):
-        h += (ids[at + o].astype("u8") + np.uint64(1)) * FACTORS[k]
+        h += (words[at + o] ^ words[at + o] >> np.uint64(32)) * FACTORS[k]
         h ^= h >> np.uint64(29)
-    return at, h
-
-
-class Seeds:
-    """The seeds of a block of test items. Items shorter than a mask are sought as a whole, word by word."""
-
-    def __init__(self, items: list[tuple[int, str]], masks: tuple[str, ...] = MASKS, min_match: int = 13, identity: float = 0.8):
-        self.vocabulary: dict[bytes, int] = {}
-        self.items, self.names, self.min_match, self.identity = [], [], min_match, identity
-        for name, text in items:
-            ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in plain_words(text)], "i4")
-            if len(ids):
-                self.items.append(ids)
-                self.names.append(name)
-        shortest = min(map(len, masks))
-        by_mask: dict[str, list[int]] = {m: list(range(len(self.items))) for m in masks}
-        for k, ids in enumerate(self.items):
-            if len(ids) < shortest:
-                by_mask.setdefault("1" * len(ids), []).append(k)
-        self.tables = []
-        for mask, members in by_mask.items():
-            found = [(h, np.full(len(h), k), at) for k in members for at, h in [seed_places(self.items[k], mask)] if len(h)]
-            if found:
-                h, item, at = (np.concatenate(x) for x in zip(*found, strict=True))
-                order = np.argsort(h, kind="stable")
-                self.tables.append((mask, h[order], item[order], at[order]))
-
-    def most_equal(self, doc: np.ndarray, item: int, shift: int) -> int:
-        """The most equal words of a run of the item against doc at doc place shift of which they are at least the identity."""
-        ids = self.items[item]
-        a, b = max(0, -shift), min(len(ids), len(doc) - shift)
-        same = doc[a + shift : b + shift] == ids[a:b]
-        equal = np.concatenate([[0], np.cumsum(same)])
-        part = Fraction(self.identity).limit_denominator(10_000)
-        # A run qualifies where the balance is not lower at its end than at its begin; the first such begin has the most equal words.
-        balance = part.denominator * equal - part.numerator * np.arange(len(equal))
-        begin = np.searchsorted(-np.minimum.accumulate(balance), -balance, "left")
-        return int((equal - equal[begin]).max())
-
-    def matches(self, docs: list[list[bytes]]) -> list[dict[int, int]]:
-        """For each document the items found in it and their equal words."""
-        out: list[dict[int, int]] = [{} for _ in docs]
-        gap = np.full(64, -1, "i4")
-        parts, starts, at = [], [], 0
-        for d in docs:
-            ids = np.fromiter(map(self.vocabulary.get, d, repeat(-1)), "i4", len(d))
-            starts.append(at)
-            parts += [ids, gap]
-            at += len(ids) + len(gap)
-        if not parts:
-            return out
-        flat, starts = np.concatenate(parts), np.array(starts)
-        seen = []
-        for mask, hashes, item, place in self.tables:
-            p, h = seed_places(flat, mask)
-            lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-            n = hi - lo
-            hit = np.flatnonzero(n)
-            if len(hit):
-                n = n[hit]
-                k = np.repeat(lo[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                p = np.repeat(p[hit], n)
-                doc = np.searchsorted(starts, p, "right") - 1
-                seen.append(np.stack([doc, item[k], p - starts[doc] - place[k]], 1))
-        if not seen:
-            return out
-        for doc, item, shift in np.unique(np.concatenate(seen), axis=0).tolist():
-            size = len(docs[doc])
-            equal = self.most_equal(flat[starts[doc] : starts[doc] + size], item, shift)
-            if equal >= min(self.min_match, len(self.items[item])):
-                name = self.names[item]
-                out[doc][name] = max(out[doc].get(name, 0), equal)
-        return out
-
-
-def blocks(benchmark: DataFrame, block_words: int) -> list[list[tuple[int, str]]]:
-    """The test items in blocks of about block_words words each; the number of blocks follows from their measured size."""
-    total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-total // (5 * block_words)))
-    rows = benchmark.filter(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    parts = [rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)] if n > 1 else [rows]
-    return [sorted(((-1 if r.item_id is None else r.item_id, r.text) for r in p.collect())) for p in parts]
-
-
-EXTRA = ("_leak_items", "_leak_item", "_leak_words")
-
-
-def with_leaks(docs: DataFrame, benchmark: DataFrame, *, min_match: int = 13, identity: float = 0.8, block_words: int = 200_000) -> DataFrame:
-    """docs with _leak_items (test items found), _leak_item (the least of their ids, null if none) and _leak_words (the most
-    equal words of one of them) added; one pass over the rows with no shuffle.
-
-    An item is found where a run of its words, aligned without gaps, has min_match equal words (or all words of
-    a shorter item) and they are at least `identity` of the run. Runs are looked for around each seed that the document
-    shares with the item. The items' seeds go to the executors in blocks of block_words words, however
-    many items there are. Null texts have no words. A null item_id counts as -1; equal rows of benchmark count once.
-    """
-    need(docs, "text")
-    need(benchmark, "item_id", "text")
-    if clash := set(EXTRA) & set(docs.columns):
-        raise ValueError(f"docs has the columns {sorted(clash)}")
+    return at, h * FACTORS[62]
+
+
+def most_equal(same: np.ndarray, identity: float) -> int:
+    """The most equal words of a run of an alignment of which they are at least the identity."""
+    equal = np.concatenate([[0], np.cumsum(same)])
+    part = Fraction(identity).limit_denominator(10_000)
+    # A run qualifies where the balance is not lower at its end than at its begin; the first such begin has the most equal words.
+    balance = part.denominator * equal - part.numerator * np.arange(len(equal))
+    begin = np.searchsorted(-np.minimum.accumulate(balance), -balance, "left")
+    return int((equal - equal[begin]).max())
+
+
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """item, item_id (null: -1), n and words (hashes) of each different row of the benchmark that has words."""
+
+    def make(batches):
+        for b in sliced(batches):
+            found = hash_words(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("item"), b.column("item_id"), pa.array([len(x) for x in found], pa.int32()), pa.array([x.tobytes() for x in found], pa.binary())], names=["item", "item_id", "n", "words"])
+
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1)).alias("item_id"), "text").distinct()
+    rows = numbered(rows, "item").select("item", "item_id", "text")
+    return written(rows.mapInArrow(make, "item long, item_id long, n int, words binary").filter("n > 0"), "items")
+
+
+def item_seeds(items: DataFrame) -> DataFrame:
+    """seed, mask (its number), item, at: seeds of the items under all masks; of those shorter than a mask, their words as a whole."""
+
+    def make(batches):
+        for b in sliced(batches):
+            for item, words in zip(b.column("item").to_pylist(), b.column("words").to_pylist(), strict=True):
+                ids = np.frombuffer(words, "u8")
+                all_known = np.ones(len(ids), bool)
+                masks = [len(MASKS) + len(ids) - 1] if len(ids) <= len(WHOLE) else range(len(MASKS))
+                for m in masks:
+                    at, h = seed_places(ids, (*MASKS, *WHOLE)[m], all_known)
+                    if len(h):
+                        yield pa.RecordBatch.from_arrays([pa.array(h.view("i8")), pa.array(np.full(len(h), m, "i4")), pa.array(np.full(len(h), item)), pa.array(at)], names=["seed", "mask", "item", "at"])
+
+    return written(items.select("item", "words").mapInArrow(make, "seed long, mask int, item long, at long"), "seeds")
+
+
+def salted(small: DataFrame, name: str) -> DataFrame:
+    return small.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+
+
+def alignments(docs: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFrame:
+    """row, item, shift: where a document (row, text) shares a seed with an item, by a join on the seeds' hashes. Maps of the seeds and of the
+    items' words, whose size follows from their number within bounds, spare seeds that cannot meet; full maps would let all of them pass."""
     spark = docs.sparkSession
-    small_batches(spark)
-    fields = [T.StructField(EXTRA[0], T.IntegerType()), T.StructField(EXTRA[1], T.LongType()), T.StructField(EXTRA[2], T.IntegerType())]
-    out = docs.select("*", F.lit(0).alias(EXTRA[0]), F.lit(None).cast("long").alias(EXTRA[1]), F.lit(0).alias(EXTRA[2]))
-    for items in blocks(benchmark, block_words):
-        sent = spark.sparkContext.broadcast(items)
-
-        def find(batches, sent=sent):
-            seeds = Seeds(sent.value, min_match=min_match, identity=identity)
-            for b in batches:
-                found = seeds.matches([plain_words(t) for t in b.column("text").to_pylist()])
-                before = [b.column(c).to_pylist() for c in EXTRA]
-                count = [n + len(f) for n, f in zip(before[0], found, strict=True)]
-                least = [min([*f, *([i] if i is not None else [])], default=None) for i, f in zip(before[1], found, strict=True)]
-                most = [max(n, *f.values()) if f else n for n, f in zip(before[2], found, strict=True)]
-                rest = [b.column(c) for c in b.schema.names if c not in EXTRA]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(count, pa.int32()), pa.array(least, pa.int64()), pa.array(most, pa.int32())], names=b.schema.names)
-
-        out = out.mapInArrow(find, T.StructType([*docs.schema.fields, *fields]))
-    return out
+
+    def spell(batches):
+        for b in sliced(batches):
+            words = np.unique(np.frombuffer(b"".join(b.column("words").to_pylist()), "i8"))
+            yield pa.RecordBatch.from_arrays([pa.array(words)], names=["w"])
+
+    masks = sorted(r.mask for r in seeds.select("mask").distinct().collect())
+    seed_map = spark.sparkContext.broadcast(bit_map(seeds.select("seed"), "seed"))
+    word_map = spark.sparkContext.broadcast(bit_map(items.select("words").mapInArrow(spell, "w long"), "w"))
+
+    def make(batches):
+        for b in sliced(batches):
+            texts = hash_words(b.column("text").to_pylist())
+            gap = np.zeros(64, "u8")  # no mask is as long
+            flat = np.concatenate([x for t in texts for x in (t, gap)]) if texts else gap
+            starts = np.concatenate([[0], np.cumsum([len(t) + len(gap) for t in texts])])
+            known = in_map(word_map.value, flat)
+            for s, t in zip(starts[:-1].tolist(), texts, strict=True):
+                known[s + len(t) : s + len(t) + len(gap)] = False
+            for m in masks:
+                at, h = seed_places(flat, (*MASKS, *WHOLE)[m], known)
+                want = in_map(seed_map.value, h)
+                at, h = at[want], h[want]
+                if not len(at):
+                    continue
+                doc = np.searchsorted(starts, at, "right") - 1
+                place = at - starts[doc]
+                if m >= len(MASKS):  # an item is found as a whole or not, so one place is enough
+                    _, one = np.unique(np.stack([doc.view("u8"), h], 1), axis=0, return_index=True)
+                    doc, place, h = doc[one], place[one], h[one]
+                rows = b.column("row").to_numpy()[doc]
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(h.view("i8")), pa.array(np.full(len(h), m, "i4")), pa.array(place)], names=["row", "seed", "mask", "place"])
+
+    found = docs.select("row", "text").mapInArrow(make, "row long, seed long, mask int, place long").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int"))
+    met = found.join(salted(seeds, "salt"), ["seed", "mask", "salt"])
+    return written(met.select("row", "item", (F.col("place") - F.col("at")).alias("shift")).distinct(), "alignments")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, *, min_match: int = 13, identity: float = 0.8) -> DataFrame:
+    """row, n_items, item_id (the least), words (the most equal words of one of them): the rows of docs (row, text) in which items are found.
+
+    An item is found where a run of its words, aligned without gaps, has min_match equal words (or all words of a shorter item)
+    and they are at least `identity` of the run. All runs of each alignment that has a seed are looked at. Seeds of documents and of items are joined by
+    their hashes; the document's words under an alignment are then cut out of the text, which is not shuffled, and joined with the item's.
+    """
+    items = benchmark_items(benchmark)
+    met = alignments(docs, item_seeds(items), items)
+    at = beside(met.join(F.broadcast(items.select("item", "n")) if items.count() <= 1_000_000 else items.select("item", "n"), "item").select("row", "item", "shift", "n"), "alignments")
+
+    def cut_out(batches):
+        lists = Beside(at)
+        for b in sliced(batches):
+            wanted = [(k, row, of) for k, row in enumerate(b.column("row").to_pylist()) if (of := lists.of(row)) is not None]
+            if not wanted:
+                continue
+            words = hash_words(b.column("text").take(pa.array([k for k, *_ in wanted])).to_pylist())
+            out: list[tuple] = []
+            for (_, row, of), w in zip(wanted, words, strict=True):
+                for item, shift, n in zip(of["item"].tolist(), of["shift"].tolist(), of["n"].tolist(), strict=True):
+                    out.append((row, item, max(0, -shift), w[max(0, shift) : shift + n].tobytes()))
+                    if len(out) >= 10_000:
+                        yield pieces(out)
+                        out = []
+            if out:
+                yield pieces(out)
+
+    def pieces(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["row", "item", "begin", "piece"])
+
+    def verify(batches):
+        for b in sliced(batches):
+            out = []
+            for row, item, item_id, n, begin, piece, words in zip(*[b.column(c).to_pylist() for c in ("row", "item", "item_id", "n", "begin", "piece", "words")], strict=True):
+                own = np.frombuffer(piece, "u8")
+                equal = most_equal(own == np.frombuffer(words, "u8")[begin : begin + len(own)], identity)
+                if equal >= min(min_match, n):
+                    out.append((row, item, item_id, equal))
+            columns = zip(*out, strict=True) if out else ((),) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["row", "item", "item_id", "words"])
+
+    found = docs.select("row", "text").mapInArrow(cut_out, "row long, item long, begin int, piece binary").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int"))
+    sure = found.join(salted(items, "salt"), ["item", "salt"]).mapInArrow(verify, "row long, item long, item_id long, words int")
+    return written(sure.groupBy("row").agg(F.count_distinct("item").cast("int").alias("n_items"), F.min("item_id").alias("item_id"), F.max("words").alias("words")), "matches")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """doc_id, contaminated, n_items, item_id, matched_words of each row of docs."""
-    found = with_leaks(docs.select("doc_id", "text"), benchmark, **options)
-    return found.select("doc_id", (F.col(EXTRA[0]) > 0).alias("contaminated"), F.col(EXTRA[0]).alias("n_items"), F.col(EXTRA[1]).alias("item_id"), F.col(EXTRA[2]).alias("matched_words"))
+    """doc_id, contaminated, n_items (test items found), item_id (the least of theirs, null if none), matched_words (the most equal words of one of them)
+    of each row of docs. Options: those of matches().
+
+    Null texts have no words. A null item_id counts as -1; equal rows of the benchmark count once. Repeated rows are judged each, an empty table
+    gives no rows, and an empty benchmark is found nowhere. Other columns are ignored, whatever their names.
+    """
+    need(docs, "doc_id", "text")
+    need(benchmark, "item_id", "text")
+    docs = numbered(docs.select("doc_id", "text"), "row")
+    found = docs.select("row", "doc_id").join(matches(docs, benchmark, **options), "row", "left")
+    return found.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"), "item_id", F.coalesce("words", F.lit(0)).alias("matched_words"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of docs in which no test item is found."""
-    clashing = [c for c in docs.columns if c.lower() in EXTRA]
-    aside = {c: free_name(docs, f"_own{c}") for c in clashing}
-    found = with_leaks(docs.withColumnsRenamed(aside), benchmark, **options).filter(F.col(EXTRA[0]) == 0).drop(*EXTRA)
-    return found.withColumnsRenamed({v: k for k, v in aside.items()})
+    """The rows of docs in which no test item is found, with all their columns, whatever their names."""
+    need(docs, "text")
+    need(benchmark, "item_id", "text")
+    row = free_name(docs, "_row")
+    docs = numbered(docs, row)
+    at = beside(matches(docs.select(F.col(row).alias("row"), "text"), benchmark, **options), "matches")
+    names = [c for c in docs.columns if c != row]
+
+    def keep(batches):
+        lists = Beside(at)
+        for b in batches:
+            want = [lists.of(x) is None for x in b.column(b.schema.get_field_index(row)).to_pylist()]
+            yield b.filter(pa.array(want, pa.bool_())).select(names)
+
+    return docs.mapInArrow(keep, T.StructType([f for f in docs.schema.fields if f.name != row]))

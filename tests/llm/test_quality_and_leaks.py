@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from registrum.llm.decontaminate import MASKS, Seeds, clean, leaks, plain_words
+from registrum.llm import decontaminate
+from registrum.llm.decontaminate import MASKS, clean, hash_words, leaks, matches, plain_words
 from registrum.llm.quality_fm import EDGES, SIZE, Machine, extract, quality_scores, train, with_scores
 
 
@@ -74,7 +75,14 @@ def brute_hits(doc, item, least=13, identity=0.8):
     return best
 
 
-def test_substitutions_against_brute_force():
+def found_in(spark, docs, items):
+    """{item: words}, the most equal words for a single item, of each document."""
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    rows = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(docs)], "row long, text string")
+    return {r.row: r for r in matches(rows, bench).collect()}
+
+
+def test_substitutions_against_brute_force(spark):
     r = random.Random(3)
     items = [words(r, n) for n in (3, 7, 14, 20, 40)]
     docs = []
@@ -83,30 +91,45 @@ def test_substitutions_against_brute_force():
         for _ in range(r.choice([0, 0, 1, 2, 3])):
             item[r.randrange(len(item))] = "other"
         docs.append(words(r, r.randint(0, 30)) + (item if k % 3 else []) + words(r, r.randint(0, 30)))
-    seeds = Seeds([(k, " ".join(x)) for k, x in enumerate(items)])
-    found = seeds.matches([[w.encode() for w in d] for d in docs])
+    found = found_in(spark, docs, items)
     want = [{k for k, x in enumerate(items) if brute_hits(d, x)} for d in docs]
-    assert all(set(f) <= w for f, w in zip(found, want, strict=True))
-    assert sum(len(f) for f in found) >= 0.9 * sum(len(w) for w in want)
+    got = [found[k].n_items if k in found else 0 for k in range(len(docs))]
+    assert all(n <= len(w) for n, w in zip(got, want, strict=True)) and sum(got) >= 0.9 * sum(map(len, want))
     exact = [{k for k, x in enumerate(items) if any(d[i : i + len(x)] == x for i in range(len(d)))} for d in docs]
-    assert all(e <= set(f) for f, e in zip(found, exact, strict=True))
+    assert all(len(e) <= n for e, n in zip(exact, got, strict=True))
 
 
-def test_each_run_of_an_alignment_with_a_seed():
+def test_each_run_of_an_alignment_with_a_seed(spark):
+    """Items and documents have words of their own, so a document can hold its own item only; several runs lie in an alignment."""
     r = random.Random(5)
     pairs = []
-    for k in range(120):
+    for k in range(150):
         item = [f"i{k}x{j}" for j in range(r.choice([14, 30, 60, 100]))]
         rate = r.choice([0.1, 0.2, 0.25, 0.3])
         pairs.append((item, ["other" if r.random() < rate else w for w in item]))
     item = [f"e{j}" for j in range(60)]
     pairs.append((item, item[:13] + [w if j % 3 else "other" for j, w in enumerate(item[13:])]))
-    for item, doc in pairs:
-        seeded = any(all(c == "0" or doc[k + o] == item[k + o] for o, c in enumerate(m)) for m in MASKS for k in range(len(item) - len(m) + 1))
+    found = found_in(spark, [d for _, d in pairs], [i for i, _ in pairs])
+    want = {}
+    for k, (item, doc) in enumerate(pairs):
         same = [a == b for a, b in zip(item, doc, strict=True)]
-        runs = [n for x in range(len(same)) for y in range(x + 1, len(same) + 1) if (n := sum(same[x:y])) >= 13 and 5 * n >= 4 * (y - x)]
-        found = Seeds([(7, " ".join(item))]).matches([[w.encode() for w in doc]])
-        assert found == [{7: max(runs)} if runs and seeded else {}]
+        sums = np.concatenate([[0], np.cumsum(same)])
+        runs = [n for x in range(len(same)) for y in range(x + 13, len(same) + 1) if (n := sums[y] - sums[x]) >= 13 and 5 * n >= 4 * (y - x)]
+        if runs:
+            want[k] = (1, k, max(runs))
+    assert {k: (x.n_items, x.item_id, x.words) for k, x in found.items()} == want and len(want) > 60
+
+
+def test_hashes_of_words_in_chunks(monkeypatch):
+    texts = ["a b, a", None, "", "  Ab aB ", "x" * 50 + " b a " + "y " * 30, "É é"]
+    monkeypatch.setattr(decontaminate, "CHUNK", 7)
+    got = hash_words(texts)
+    names = {}
+    for text, h in zip(texts, got, strict=True):
+        assert len(h) == len(plain_words(text))
+        for w, x in zip(plain_words(text), h.tolist(), strict=True):
+            assert names.setdefault(w, x) == x
+    assert len(set(names.values())) == len(names)
 
 
 def test_each_short_run_has_a_seed():
@@ -115,14 +138,13 @@ def test_each_short_run_has_a_seed():
             assert any(all(c == "0" or k + o not in at for o, c in enumerate(m)) for m in MASKS for k in range(n - len(m) + 1))
 
 
-def test_blocks_and_odd_rows(odd, empty, corpus, spark):
+def test_odd_items_and_rows(odd, empty, corpus, spark):
     r = random.Random(4)
     items = [(k, " ".join(words(r, 30))) for k in range(40)]
     bench = spark.createDataFrame([*items, (None, "lone item of five words"), (99, None), (3, items[3][1])], "item_id long, text string")
     docs = corpus(["x y " + items[3][1].upper() + " z", " ".join(words(r, 50)), "a lone, item: of five WORDS here", f"{items[7][1]}. {items[8][1]}"])
-    for size in (200_000, 50):
-        got = {x.doc_id: (x.contaminated, x.n_items, x.item_id) for x in leaks(docs, bench, block_words=size).collect()}
-        assert got == {0: (True, 1, 3), 1: (False, 0, None), 2: (True, 1, -1), 3: (True, 2, 7)}
+    got = {x.doc_id: (x.contaminated, x.n_items, x.item_id) for x in leaks(docs, bench).collect()}
+    assert got == {0: (True, 1, 3), 1: (False, 0, None), 2: (True, 1, -1), 3: (True, 2, 7)}
     assert clean(odd, bench).count() == 10 and clean(odd, bench).columns == odd.columns
     assert leaks(empty, bench).collect() == [] and leaks(docs, bench.limit(0)).filter("contaminated").count() == 0
     assert plain_words(None) == [] and plain_words("É-b, C") == ["é".encode(), b"b", b"c"]
