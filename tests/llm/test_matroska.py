@@ -58,3 +58,14 @@ def test_columns(corpus, odd, empty):
     media = to_media(odd)
     assert packets(media).count() == sum(-(-len(p) // 512) for _, p in want)
     assert features(to_media(empty)).collect() == []
+
+
+def test_null_and_broken_media(spark):
+    whole = mux(padded("text")[1])
+    media = spark.createDataFrame([(1, 4, whole), (2, None, None), (3, 0, b""), (4, 9, whole[:40]), (5, 1, b"\x00" * 50), (None, 4, whole)], "doc_id long, n_bytes long, media binary")
+    got = features(media).collect()
+    assert [r.payload_bytes for r in got if r.doc_id in (1, None)] == [64, 64]
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[2][2:] == (None,) * 6 and by_id[5].media_bytes == 50
+    assert all(by_id[k].payload_sha256 != by_id[1].payload_sha256 for k in (3, 4, 5))
+    assert {r.doc_id for r in packets(media).collect()} >= {1, None}

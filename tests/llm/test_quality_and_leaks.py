@@ -1,4 +1,5 @@
 import random
+import zlib
 from itertools import combinations
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 import corpus_pipeline
 from registrum.llm import decontaminate
 from registrum.llm.decontaminate import MASKS, clean, hash_words, leaks, matches, plain_words
+from registrum.llm.mixing import pareto_mix
 from registrum.llm.quality_fm import EDGES, SIZE, Machine, extract, quality_scores, train, with_scores
 
 
@@ -150,6 +152,72 @@ def test_odd_items_and_rows(odd, empty, corpus, spark):
     assert plain_words(None) == [] and plain_words("É-b, C") == ["é".encode(), b"b", b"c"]
 
 
+def test_scores_against_a_plain_sum_over_pairs(corpus, spark):
+    """The query's scores are those of the machine it fits, summed pair by pair."""
+    r = random.Random(6)
+    docs = corpus([" ".join(words(r, r.randint(0, 12), 8 + 40 * (k % 2))) for k in range(60)] + [None])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(3, 0), (None, 1), (4, None)], "doc_id long, quality int")
+    m = train(docs, labels)
+    got = {x.doc_id: x for x in quality_scores(docs, labels).collect()}
+    for x in docs.collect():
+        place, value = extract(x.text)
+        z = m.w0 + float((m.w[place] * value).sum())
+        z += sum(float(m.v[a] @ m.v[b]) * float(value[i]) * float(value[j]) for i, a in enumerate(place) for j, b in enumerate(place) if i < j)
+        assert got[x.doc_id].score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+        assert got[x.doc_id].held_out == (zlib.crc32(str(x.doc_id).encode()) % 5 == 0) and got[x.doc_id].predicted == int(got[x.doc_id].score >= 0.3)
+
+
+@pytest.mark.parametrize("table", ["odd", "empty"])
+def test_stages_on_odd_tables(table, request, spark, data, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing names in, and what each stage keeps is its own whole rows."""
+    docs, folder = request.getfixturevalue(table), str(data / "sf0.001")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        if name == corpus_pipeline.STAGES[-1][0]:
+            assert out.count() == docs.count()
+            break
+        assert out.columns == docs.columns
+        at = f"file://{tmp_path}/{name.replace(' ', '-')}"
+        out.write.parquet(at)
+        before, docs = {repr(tuple(r)) for r in docs.collect()}, spark.read.parquet(at)
+        assert {repr(tuple(r)) for r in docs.collect()} <= before
+
+
+def test_pipeline_against_plain_stages(spark, data, corpus):
+    """On a small table: scores by the machine, similarity of all pairs, items by words, and the mix's own decisions."""
+    folder = str(data / "sf0.001")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(120)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    m = train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    rows = docs.collect()
+    good = [r for r in rows if m.score([extract(r.text)])[0] >= 0.3]
+    sets = {}
+    for r in good:
+        w = (r.text or "").encode().lower().split()
+        n = min(5, len(w))
+        sets[r.doc_id] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if n else set()
+    group = {i: i for i in sets}
+    links = [(a, b) for a, b in combinations(sets, 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in links:
+        for a, b in links:
+            group[a] = group[b] = min(group[a], group[b])
+    single = {i for i in group if group[i] == i}
+    items = [plain_words(r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    grams = {tuple(x[k : k + 13]) for x in items for k in range(len(x) - 12)}
+    leaky = {r.doc_id for r in good if r.doc_id in single and any(tuple(w[k : k + 13]) in grams for w in [plain_words(r.text)] for k in range(len(w) - 12))}
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["quality"](spark, docs, folder)
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in good}
+    one = stages["near duplicates"](spark, kept, folder)
+    assert {r.doc_id for r in one.collect()} == single
+    safe = stages["decontamination"](spark, one, folder)
+    found = {r.doc_id for r in safe.collect()}
+    assert not found & leaky and len(found) >= 0.9 * len(single - leaky)
+    want = {x.doc_id: int(x.taken / x.size + 0.5) if x.size else None for x in pareto_mix(safe).collect()}
+    copies = {r.doc_id: r["count"] for r in stages["mixing"](spark, safe, folder).groupBy("doc_id").count().collect()}
+    assert all(n is None or copies.get(i, 0) == n for i, n in want.items())
+
+
 def test_pipeline(spark, data):
     folder = str(data / "sf0.001")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
