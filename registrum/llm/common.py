@@ -92,6 +92,14 @@ def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> It
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """For results that the caller computes later: bounds rows and bytes of the session's Arrow batches where they are at Spark's defaults
+    (10,000 rows, 64 MB), which take hundreds of MB beside the heap. What the caller has set stays, and no result depends on it."""
+    for key, default, value in (("maxRecordsPerBatch", ("10000",), str(rows)), ("maxBytesPerBatch", ("67108864b", "64MB", "64m"), size)):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", default[0]) in default:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
+
+
 def sliced(batches, rows: int = 1000):
     """Batches of so many rows at most, for functions that run in jobs of the caller."""
     for b in batches:

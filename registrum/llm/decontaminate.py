@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Beside, beside, bit_map, free_name, in_map, need, numbered, sliced, written
+from .common import Beside, beside, bit_map, bounded_batches, free_name, in_map, need, numbered, sliced, written
 from .segments import BASE, powers
 
 #: Where a mask has 0, the word there may differ. The last has a seed in each run of 13 equal words or more with s others that are at
@@ -22,7 +22,7 @@ WHOLE = tuple("1" * n for n in range(1, min(map(len, MASKS))))
 TABLE = bytes(ord(c.lower()) if (c := chr(i)).isalnum() and i < 128 else i if i >= 128 else 32 for i in range(256))
 FACTORS = np.random.default_rng(20).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Bytes whose words are hashed at once, and copies of the benchmark's side of a join, among which rows of a common seed or item are dealt.
-CHUNK, SALT = 2 << 20, 8
+CHUNK, SALT = 1 << 20, 8
 
 _up, _down = powers(BASE, 1), powers(BASE, 1)
 
@@ -256,4 +256,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
             want = [lists.of(x) is None for x in b.column(b.schema.get_field_index(row)).to_pylist()]
             yield b.filter(pa.array(want, pa.bool_())).select(names)
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(keep, T.StructType([f for f in docs.schema.fields if f.name != row]))

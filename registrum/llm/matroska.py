@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import need, sliced, written
+from .common import bounded_batches, need, sliced, written
 
 # Element ids of the Matroska specification (RFC 9559) and of EBML (RFC 8794).
 EBML, EBML_VERSION, EBML_READ_VERSION, EBML_MAX_ID, EBML_MAX_SIZE, DOC_TYPE, DOC_TYPE_VERSION, DOC_TYPE_READ_VERSION = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
@@ -334,4 +334,5 @@ def features(media: DataFrame) -> DataFrame:
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_bytes"), *columns], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
+    bounded_batches(media.sparkSession)
     return media.select("doc_id", "n_bytes", "media").mapInArrow(read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_crc, need, sliced, small_batches, words
+from .common import bounded_batches, id_crc, need, sliced, small_batches, words
 
 BITS = 15
 WORDS = 1 << BITS
@@ -138,6 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, *, target: str = "quality", folds:
 def with_scores(docs: DataFrame, machine: Machine, column: str = "_quality") -> DataFrame:
     """docs with a double in column (0 to 1) added; one pass over the rows, with no shuffle."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast((machine.w0, machine.w, machine.v))
     if column in docs.columns:
         raise ValueError(f"docs has a column {column}")

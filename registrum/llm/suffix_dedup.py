@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .collection_bwt import build
-from .common import Beside, beside, need, numbered, sliced, written
+from .common import Beside, beside, bounded_batches, need, numbered, sliced, written
 from .segments import Segmenter
 
 GRAM = 32
@@ -324,6 +324,7 @@ def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(runs, kind), pa.array(kept, pa.binary())], names=["row", "doc_id", "spans", "kept"])
 
     schema = "row long, doc_id long, spans array<struct<s: long, e: long>>, kept binary"
+    bounded_batches(docs.sparkSession)
     return docs.select("row", "doc_id", "text").mapInArrow(make, schema)
 
 
