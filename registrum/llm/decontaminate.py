@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Beside, beside, bit_map, bounded_batches, free_name, in_map, need, numbered, sliced, written
+from .common import Beside, beside, bit_map, bounded_batches, free_name, in_map, lean, need, numbered, sliced, written
 from .segments import BASE, powers
 
 #: Where a mask has 0, the word there may differ. The last has a seed in each run of 13 equal words or more with s others that are at
@@ -114,7 +114,7 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(-1)).alias("item_id"), "text").distinct()
     rows = numbered(rows, "item").select("item", "item_id", "text")
-    return written(rows.mapInArrow(make, "item long, item_id long, n int, words binary").filter("n > 0"), "items")
+    return written(rows.mapInArrow(lean(make), "item long, item_id long, n int, words binary").filter("n > 0"), "items")
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def item_seeds(items: DataFrame) -> DataFrame:
                     if len(h):
                         yield pa.RecordBatch.from_arrays([pa.array(h.view("i8")), pa.array(np.full(len(h), m, "i4")), pa.array(np.full(len(h), item)), pa.array(at)], names=["seed", "mask", "item", "at"])
 
-    return written(items.select("item", "words").mapInArrow(make, "seed long, mask int, item long, at long"), "seeds")
+    return written(items.select("item", "words").mapInArrow(lean(make), "seed long, mask int, item long, at long"), "seeds")
 
 
 def salted(small: DataFrame, name: str) -> DataFrame:
@@ -150,7 +150,7 @@ def alignments(docs: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFrame
 
     masks = sorted(r.mask for r in seeds.select("mask").distinct().collect())
     seed_map = spark.sparkContext.broadcast(bit_map(seeds.select("seed"), "seed"))
-    word_map = spark.sparkContext.broadcast(bit_map(items.select("words").mapInArrow(spell, "w long"), "w"))
+    word_map = spark.sparkContext.broadcast(bit_map(items.select("words").mapInArrow(lean(spell), "w long"), "w"))
 
     def make(batches):
         for b in sliced(batches):
@@ -175,7 +175,7 @@ def alignments(docs: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFrame
                 rows = b.column("row").to_numpy()[doc]
                 yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(h.view("i8")), pa.array(np.full(len(h), m, "i4")), pa.array(place)], names=["row", "seed", "mask", "place"])
 
-    found = docs.select("row", "text").mapInArrow(make, "row long, seed long, mask int, place long").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int"))
+    found = docs.select("row", "text").mapInArrow(lean(make), "row long, seed long, mask int, place long").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int"))
     met = found.join(salted(seeds, "salt"), ["seed", "mask", "salt"])
     return written(met.select("row", "item", (F.col("place") - F.col("at")).alias("shift")).distinct(), "alignments")
 
@@ -222,8 +222,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, min_match: int = 13, ident
             columns = zip(*out, strict=True) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)], names=["row", "item", "item_id", "words"])
 
-    found = docs.select("row", "text").mapInArrow(cut_out, "row long, item long, begin int, piece binary").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int"))
-    sure = found.join(salted(items, "salt"), ["item", "salt"]).mapInArrow(verify, "row long, item long, item_id long, words int")
+    found = docs.select("row", "text").mapInArrow(lean(cut_out), "row long, item long, begin int, piece binary").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int"))
+    sure = found.join(salted(items, "salt"), ["item", "salt"]).mapInArrow(lean(verify), "row long, item long, item_id long, words int")
     return written(sure.groupBy("row").agg(F.count_distinct("item").cast("int").alias("n_items"), F.min("item_id").alias("item_id"), F.max("words").alias("words")), "matches")
 
 
@@ -257,4 +257,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
             yield b.filter(pa.array(want, pa.bool_())).select(names)
 
     bounded_batches(docs.sparkSession)
-    return docs.mapInArrow(keep, T.StructType([f for f in docs.schema.fields if f.name != row]))
+    return docs.mapInArrow(lean(keep), T.StructType([f for f in docs.schema.fields if f.name != row]))

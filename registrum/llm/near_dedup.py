@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Beside, beside, components, cut, free_name, from_files, need, numbered, sliced, small_batches, words, written
+from .common import Beside, beside, components, cut, free_name, from_files, lean, need, numbered, sliced, small_batches, words, written
 
 SIDE, ROWS = 13, 3
 CELLS = 1 << 20
@@ -124,7 +124,7 @@ def sketched(docs: DataFrame, shingle: int) -> DataFrame:
             prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary()), pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())], names=["row", "doc_id", "n", "print", "sketch"])
 
-    return docs.select("row", "doc_id", "text").mapInArrow(make, "row long, doc_id long, n long, print binary, sketch binary")
+    return docs.select("row", "doc_id", "text").mapInArrow(lean(make), "row long, doc_id long, n long, print binary, sketch binary")
 
 
 def star_pairs(nodes: DataFrame, held: int = 8192) -> DataFrame:
@@ -181,9 +181,9 @@ def star_pairs(nodes: DataFrame, held: int = 8192) -> DataFrame:
                 pairs = np.unique(np.stack([node[off], hubs[off]], 1), axis=0)
                 yield _batch({"x": pairs[:, 0], "h": pairs[:, 1]})
 
-    own = nodes.select("node", "sketch").mapInArrow(combined("pairs"), "x long, h long")
-    keys = nodes.select("node", "sketch").mapInArrow(combined("keys"), "key long, node long")
-    across = keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(stream, "x long, h long")
+    own = nodes.select("node", "sketch").mapInArrow(lean(combined("pairs")), "x long, h long")
+    keys = nodes.select("node", "sketch").mapInArrow(lean(combined("keys")), "key long, node long")
+    across = keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lean(stream), "x long, h long")
     return own.unionByName(across).distinct()
 
 
@@ -201,7 +201,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
                 found = [shingles(t) for t in b.column("text").take(pa.array(wanted)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array([nodes[k] for k in wanted], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary()), pa.array([parity(s) for s in found], pa.binary())], names=["node", "set", "parity"])
 
-    return docs.select("row", "text").mapInArrow(make, "node long, set binary, parity binary")
+    return docs.select("row", "text").mapInArrow(lean(make), "node long, set binary, parity binary")
 
 
 def compared(pairs: DataFrame, items: DataFrame, column: str, test, percent: int, most: int = 1024) -> DataFrame:
@@ -226,7 +226,7 @@ def compared(pairs: DataFrame, items: DataFrame, column: str, test, percent: int
                     ok.append(test(own, value, percent))
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(hs, pa.int64()), pa.array(ok, pa.bool_())], names=["x", "h", "linked"])
 
-    return members.unionByName(heads).repartition("h", "part").sortWithinPartitions("h", "part", "role").mapInArrow(compare, "x long, h long, linked boolean")
+    return members.unionByName(heads).repartition("h", "part").sortWithinPartitions("h", "part", "role").mapInArrow(lean(compare), "x long, h long, linked boolean")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -256,7 +256,7 @@ def counts_of(sets: DataFrame) -> np.ndarray:
 
     out = np.zeros(CELLS, "i8")
     with small_batches(sets.sparkSession):
-        found = sets.select("set").mapInArrow(count, "k int, part binary").repartition("k").mapInArrow(add, "k int, part binary").collect()
+        found = sets.select("set").mapInArrow(lean(count), "k int, part binary").repartition("k").mapInArrow(lean(add), "k int, part binary").collect()
     for r in found:
         out[r.k * chunk : (r.k + 1) * chunk] += np.frombuffer(r.part, "i8")
     return out
@@ -284,7 +284,7 @@ def rest_pairs(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
             if parts:
                 yield _batch(dict(zip(("shingle", "node", "n", "at", "small"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
-    rows = sets.select("node", "set").mapInArrow(prefixes, "shingle long, node long, n long, at long, small boolean").join(groups, "node")
+    rows = sets.select("node", "set").mapInArrow(lean(prefixes), "shingle long, node long, n long, at long, small boolean").join(groups, "node")
     rows = written(rows, "prefixes", "lz4")
     # Shingles at which a failed component meets another one; sums by task come before the shuffle, however common a shingle is.
     meeting = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("failed").alias("any")).filter("low <> high and any")

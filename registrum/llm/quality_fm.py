@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, id_crc, need, sliced, small_batches, words
+from .common import bounded_batches, id_crc, lean, need, sliced, small_batches, words
 
 BITS = 15
 WORDS = 1 << BITS
@@ -128,7 +128,7 @@ def train(docs: DataFrame, labels: DataFrame, *, target: str = "quality", folds:
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("label"), pa.array([p.tobytes() for p, _ in got], pa.binary()), pa.array([x.tobytes() for _, x in got], pa.binary())], names=["doc_id", "label", "place", "value"])
 
     with small_batches(docs.sparkSession):
-        found = sorted(joined.mapInArrow(features, "doc_id long, label double, place binary, value binary").collect(), key=lambda r: r.doc_id)
+        found = sorted(joined.mapInArrow(lean(features), "doc_id long, label double, place binary, value binary").collect(), key=lambda r: r.doc_id)
     m = Machine()
     if found:
         m.fit([(np.frombuffer(r.place, "i4"), np.frombuffer(r.value, "f4")) for r in found], np.array([r.label for r in found], "f4"), **options)
@@ -152,7 +152,7 @@ def with_scores(docs: DataFrame, machine: Machine, column: str = "_quality") ->
 
     from pyspark.sql import types as T
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
+    return docs.mapInArrow(lean(score), T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3) -> DataFrame:
