@@ -222,9 +222,19 @@ def from_files(docs: DataFrame) -> bool:
 PLACE_BITS = 33
 
 
+def steady_splits(spark: SparkSession) -> None:
+    """Fixes the number of cores by which small files are put together and large ones cut, where the session leaves it open. Spark takes the cores it has
+    at the time, so a table that is read again after executors were lost or added would come in other parts."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        spark.conf.set(key, str(cores))
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """docs with the number of each row in the column name. The numbers are those of the places in the files that docs is read from; rows that come
-    from anything else are written to the shared folder first."""
+    """docs with the number of each row in the column name. The numbers are those of the places in the files that docs is read from, the same ones
+    however many executors there are later; rows that come from anything else are written to the shared folder first."""
+    steady_splits(docs.sparkSession)
     if not from_files(docs):
         docs = written(docs, "rows")
     return docs.select("*", F.monotonically_increasing_id().alias(name))
