@@ -44,7 +44,7 @@ class Shingler:
         import xxhash
 
         tokens, known = words(text), self.known
-        if len(known) > 500_000:
+        if len(known) > 100_000:
             known.clear()
         try:
             h = np.fromiter(map(known.__getitem__, tokens), "u8", len(tokens))
