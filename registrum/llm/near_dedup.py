@@ -127,7 +127,7 @@ def sketched(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("row", "doc_id", "text").mapInArrow(lean(make), "row long, doc_id long, n long, print binary, sketch binary")
 
 
-def star_pairs(nodes: DataFrame, held: int = 8192) -> DataFrame:
+def star_pairs(nodes: DataFrame, held: int = 2048) -> DataFrame:
     """x, h: each node with the hub of each of its buckets. A task first joins its own nodes to a hub of the task and hands over the
     hubs only, so a bucket that holds much of the table has a row per task and the rest is streamed from sorted rows."""
 
